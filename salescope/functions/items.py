@@ -110,7 +110,8 @@ def vocabulary(df: DataFrame, text: str = "ingredients") -> DataFrame:
     Distinct texts are taken first, so a text repeated on a third of all lines is split once.
     """
     distinct_texts = df.select(text).where(F.col(text).isNotNull()).distinct()
-    return distinct_texts.select(F.trim(F.explode(F.split(text, ","))).alias("ingredient")).distinct()
+    parts = distinct_texts.select(F.explode(F.split(text, ",")).alias("part"))
+    return parts.select(F.trim("part").alias("ingredient")).distinct()
 
 
 def contains_flag(text: Column, word: str) -> Column:
