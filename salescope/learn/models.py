@@ -64,21 +64,30 @@ def impute_exact(df: DataFrame, numeric: Sequence[str], one_hot: Sequence[str] =
     return out.fillna(0, subset=list(one_hot)) if one_hot else out
 
 
-def regressor(name: str, rows: int, **p):
+# normal equations take one pass over the rows; Spark solves them for up to this many features
+NORMAL_EQUATION_FEATURES = 4096
+
+
+def regressor(name: str, rows: int = 1, label_std: float = 1.0, width: int = 1, **p):
     """Spark ML estimator for a model name and its parameters.
 
-    A ridge penalty applies to the summed loss, while Spark averages the loss over ``rows``.
+    Penalties follow the usual definitions on the unscaled label: ridge adds alpha |w|^2 to the summed
+    loss, lasso and elastic net add alpha (l1 |w| + (1 - l1) |w|^2 / 2) to half the mean loss. Spark
+    averages the loss and applies the squared penalty to a label of unit deviation, hence ``rows`` and
+    ``label_std``.
     """
     common = {"featuresCol": "features", "labelCol": "label"}
-    linear = {**common, "standardization": False, "fitIntercept": p.get("fit_intercept", True)}
+    solver = "normal" if width <= NORMAL_EQUATION_FEATURES else "l-bfgs"
+    linear = {**common, "standardization": False, "fitIntercept": p.get("fit_intercept", True), "solver": solver,
+              "maxIter": p.get("max_iter", 1000), "tol": 1e-10}
     if name == "LinearRegression":
-        return LinearRegression(**linear, solver="normal")
+        return LinearRegression(**linear)
     if name == "Ridge":
-        return LinearRegression(**linear, regParam=p["alpha"] / rows, elasticNetParam=0.0, solver="normal")
-    if name == "Lasso":
-        return LinearRegression(**linear, regParam=p["alpha"], elasticNetParam=1.0, maxIter=p.get("max_iter", 1000))
-    if name == "ElasticNet":
-        return LinearRegression(**linear, regParam=p["alpha"], elasticNetParam=p["l1_ratio"], maxIter=p.get("max_iter", 1000))
+        return LinearRegression(**linear, regParam=p["alpha"] / rows * label_std, elasticNetParam=0.0)
+    if name in ("Lasso", "ElasticNet"):
+        l1 = p.get("l1_ratio", 1.0)
+        size = l1 + label_std * (1 - l1)
+        return LinearRegression(**linear, regParam=p["alpha"] * size, elasticNetParam=l1 / size)
     if name == "DecisionTree":
         return DecisionTreeRegressor(**common, maxDepth=p["max_depth"], minInstancesPerNode=p.get("min_samples_leaf", 1), seed=SEED)
     if name == "RandomForest":
@@ -88,6 +97,12 @@ def regressor(name: str, rows: int, **p):
     raise ValueError(f"unknown model {name}")
 
 
+def label_size(data: DataFrame) -> tuple[int, float]:
+    """Rows and population deviation of the label of the train split."""
+    n, std = data.where(F.col("split") == "train").agg(F.count("label"), F.stddev_pop("label")).first()
+    return n, std or 1.0
+
+
 def classifier(name: str, classes: int = 2, width: int = 1, trees: int = 100, depth: int = 10):
     """Spark ML classifier for a model name."""
     common = {"featuresCol": "features", "labelCol": "label"}
@@ -123,10 +138,6 @@ def score(model: Transformer, data: DataFrame) -> DataFrame:
     return model.transform(data)
 
 
-def train_rows(data: DataFrame) -> int:
-    return data.where(F.col("split") == "train").count()
-
-
 RUN_SCHEMA = (
     "model_name string, config_num int, run_name string, training_time double, params map<string,string>, "
     + ", ".join(f"{s}_{m} double" for s in ("train", "val", "test") for m in ("rmse", "mae", "r2"))
@@ -140,7 +151,7 @@ def regression_grid(data: DataFrame, grid: dict[str, dict], key: str, columns: S
     """
     fixed = data.persist()
     train = fixed.where(F.col("split") == "train")
-    n = train.count()
+    n, std = label_size(fixed)
     rows, scored = [], fixed
     for name, options in grid.items():
         for number, params in enumerate(combinations(options), 1):
@@ -152,7 +163,7 @@ def regression_grid(data: DataFrame, grid: dict[str, dict], key: str, columns: S
                 )
                 scored = scored.join(predictions.withColumnRenamed("prediction", column), key)
             else:
-                model = regressor(name, n, **params).setPredictionCol(column).fit(train)
+                model = regressor(name, n, std, **params).setPredictionCol(column).fit(train)
                 scored = model.transform(scored)
             seconds = time.perf_counter() - start
             metrics = wide_metrics(scored.select("split", "label", column), prediction=column).first().asDict()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -187,19 +188,27 @@ def fit_labels(df: DataFrame, key: str, features: Sequence[str], algorithm: str,
     raise ValueError(f"unknown algorithm {algorithm}")
 
 
-def cluster_grid(df: DataFrame, key: str, features: Sequence[str], grid: dict | None = None) -> DataFrame:
-    """Run table of the grid, in configuration order, with quality scores and seconds."""
+def cluster_grid(df: DataFrame, key: str, features: Sequence[str], grid: dict | None = None, parallel: int = 4) -> DataFrame:
+    """Run table of the grid, in configuration order, with quality scores and seconds.
+
+    Configurations are independent jobs on one materialised table; ``parallel`` of them are in flight at a time.
+    """
     data = cut_lineage(df.select(key, *features))
-    rows = []
-    for algorithm, options in (grid or CLUSTER_GRID).items():
-        for values in itertools.product(*options.values()):
-            params = dict(zip(options, values))
-            start = time.perf_counter()
-            labels = fit_labels(data, key, features, algorithm, params)
-            width, ratio = scores(data.join(labels, key), key, features)
-            rows.append(
-                (len(rows) + 1, algorithm, {k: str(v) for k, v in params.items()}, width, ratio, time.perf_counter() - start)
-            )
+    configs = [
+        (algorithm, dict(zip(options, values)))
+        for algorithm, options in (grid or CLUSTER_GRID).items()
+        for values in itertools.product(*options.values())
+    ]
+
+    def run(config: tuple[str, dict]) -> tuple:
+        algorithm, params = config
+        start = time.perf_counter()
+        labels = fit_labels(data, key, features, algorithm, params)
+        width, ratio = scores(data.join(labels, key), key, features)
+        return algorithm, {k: str(v) for k, v in params.items()}, width, ratio, time.perf_counter() - start
+
+    with ThreadPoolExecutor(parallel) as pool:
+        rows = [(i, *row) for i, row in enumerate(pool.map(run, configs), 1)]
     return df.sparkSession.createDataFrame(
         rows,
         "config int, algorithm string, params map<string,string>, silhouette double, davies_bouldin double, seconds double",

@@ -71,26 +71,28 @@ def running(
     )
 
 
-def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], name: str = "q") -> DataFrame:
-    """One row with an array of exact, linearly interpolated quantiles of a numeric column.
+def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], name: str = "q",
+              keys: Sequence[str] = ()) -> DataFrame:
+    """Array of exact, linearly interpolated quantiles of a numeric column, one row (per ``keys``).
 
     Values are counted first, bucket totals locate the ranks asked for, and only
     the buckets that hold one of those ranks are ordered.
     """
     ps = [float(p) for p in probabilities]
+    by = [*keys, "b"]
     counts = (
         df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
+        .groupBy(*keys, F.col(column).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("b", value_bucket(F.col("v")))
     )
-    by_bucket = counts.groupBy("b").agg(F.sum("n").alias("bn"))
-    upto = W.orderBy("b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = W.orderBy("b").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    by_bucket = counts.groupBy(*by).agg(F.sum("n").alias("bn"))
+    per_key = W.partitionBy(*keys)
+    upto = per_key.orderBy("b").rowsBetween(W.unboundedPreceding, W.currentRow)
     located = by_bucket.select(
-        "b", "bn", (F.sum("bn").over(upto) - F.col("bn")).alias("start"), F.sum("bn").over(whole).alias("total")
+        *by, "bn", (F.sum("bn").over(upto) - F.col("bn")).alias("start"), F.sum("bn").over(per_key).alias("total")
     )
-    wanted = F.explode(
+    ranks = F.explode(
         F.array(
             *[
                 F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), rank.cast("long").alias("rank"))
@@ -103,16 +105,17 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], name:
         )
     )
     hits = (
-        located.withColumn("w", wanted)
+        located.withColumn("w", ranks)
         .where((F.col("w.rank") >= F.col("start")) & (F.col("w.rank") < F.col("start") + F.col("bn")))
-        .select("b", "total", F.col("w.i").alias("i"), F.col("w.side").alias("side"),
+        .select(*by, "total", F.col("w.i").alias("i"), F.col("w.side").alias("side"),
                 (F.col("w.rank") - F.col("start")).alias("rank"))
     )
-    # hits has two rows per probability
-    needed = counts.join(F.broadcast(hits.select("b").distinct()), "b", "left_semi")
-    inside = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # without keys, hits has two rows per probability
+    small = (lambda x: x) if keys else F.broadcast
+    needed = counts.join(small(hits.select(*by).distinct()), by, "left_semi")
+    inside = W.partitionBy(*by).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = needed.withColumn("end", F.sum("n").over(inside))
-    picked = ranked.join(F.broadcast(hits), "b").where(
+    picked = ranked.join(small(hits), by).where(
         (F.col("rank") >= F.col("end") - F.col("n")) & (F.col("rank") < F.col("end"))
     )
 
@@ -124,7 +127,7 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], name:
         place = (F.max("total") - 1) * F.lit(p)
         return lo + (hi - lo) * (place - F.floor(place))
 
-    return picked.agg(F.array(*[interpolate(i, p) for i, p in enumerate(ps)]).alias(name))
+    return picked.groupBy(*keys).agg(F.array(*[interpolate(i, p) for i, p in enumerate(ps)]).alias(name))
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], position: str = "position") -> DataFrame:

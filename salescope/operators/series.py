@@ -65,7 +65,7 @@ def demand_features(hourly: DataFrame, keys: Sequence[str] = (), include_current
     )
 
 
-def centred_mean(df: DataFrame, order: str, value: str, half: int = 3) -> Column:
+def centred_mean(order: str, value: str, half: int = 3) -> Column:
     """Mean of the row and ``half`` rows on each side, null unless all of them exist."""
     window = W.orderBy(order).rowsBetween(-half, half)
     return F.when(F.count(value).over(window) == 2 * half + 1, F.avg(value).over(window))

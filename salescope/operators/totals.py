@@ -102,12 +102,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def split_statistics(df: DataFrame, target: str, by: str = "split") -> DataFrame:
-    """Rows, mean, sample deviation, minimum and maximum of the target in each split."""
+    """Rows, mean, sample deviation, minimum, maximum and exact median of the target in each split."""
     t = F.col(target)
-    return df.groupBy(by).agg(
+    stats = df.groupBy(by).agg(
         F.count(t).alias("rows"), F.avg(t).alias("mean"), F.stddev_samp(t).alias("std"),
         F.min(t).alias("min"), F.max(t).alias("max"),
     )
+    middle = quantiles(df, target, [0.5], keys=[by])
+    return stats.join(middle, by).select(*stats.columns, F.col("q")[0].alias("median"))
 
 
 def median(df: DataFrame, column: str) -> Column:
@@ -115,6 +117,21 @@ def median(df: DataFrame, column: str) -> Column:
     return quantiles(df, column, [0.5]).scalar()[0]
 
 
+def date_hour_cells(lines: DataFrame) -> DataFrame:
+    """Revenue, units and lines by date and hour: at most 24 rows a day, enough for every staffing figure."""
+    return lines.groupBy("order_date", "hour").agg(
+        F.sum("total_price").alias("revenue"), F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("lines")
+    )
+
+
+def weekday_hour_means_of_cells(cells: DataFrame) -> DataFrame:
+    """The same means per line as ``weekday_hour_means``, from date and hour cells."""
+    lines = F.sum("lines")
+    return cells.groupBy(F.date_format("order_date", "EEEE").alias("day_name"), "hour").agg(
+        (F.sum("revenue") / lines).alias("revenue"), (F.sum("units") / lines).alias("units"), lines.alias("lines")
+    )
+
+
 def product_identity(lines: DataFrame, key: str = "item_name") -> DataFrame:
     """Mean unit price, most frequent size and category (ties: smallest) and ingredients of each product.
 

@@ -8,6 +8,7 @@ from salescope.operators import series, totals
 from salescope.operators.outlook import demand_advice
 from salescope.plans.registry import DAILY, HOURLY, R, SALES, query, r, row_spread_sql, rounded, sql
 from salescope.plans.profiles import SPLIT_CASE, SPLIT_KEYS
+from salescope.session import cut_lineage
 from salescope.sources.views import event_lines, sales, table
 
 
@@ -71,7 +72,8 @@ def demand_lags_by_type(spark, d):
 
 
 def daily(spark, d):
-    return totals.daily_sales(sales(spark, d, "order_id", "order_date", "total_price", "quantity"))
+    """Daily series, one row per calendar day; fixed in storage because forecasts read it several times."""
+    return cut_lineage(totals.daily_sales(sales(spark, d, "order_id", "order_date", "total_price", "quantity")))
 
 
 @query(
@@ -84,7 +86,7 @@ def daily(spark, d):
 def centred_week_mean(spark, d):
     return daily(spark, d).select(
         F.col("order_date").cast("string").alias("order_date"), r("revenue", 2).alias("revenue"),
-        F.coalesce(r(series.centred_mean(daily(spark, d), "order_date", "revenue"), 4), F.lit(-1.0)).alias("revenue_ma7"),
+        F.coalesce(r(series.centred_mean("order_date", "revenue"), 4), F.lit(-1.0)).alias("revenue_ma7"),
     )
 
 
@@ -178,12 +180,7 @@ def random_split(spark, d):
 )
 def split_statistics(spark, d):
     split = series.random_split(sales(spark, d, *SPLIT_KEYS, "quantity"), SPLIT_KEYS)
-    stats = totals.split_statistics(split, "quantity")
-    middle = F.lit(None).cast("double")
-    for side in ("train", "val", "test"):
-        exact = totals.median(split.where(F.col("split") == side), "quantity")
-        middle = F.when(F.col("split") == side, exact).otherwise(middle)
-    return rounded(stats.withColumn("median", middle))
+    return rounded(totals.split_statistics(split, "quantity"))
 
 
 @query(

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salescope.operators import outlook
+from salescope.functions.times import clock_hour
 from salescope.operators.ordered import one_row
-from salescope.operators.totals import value_counts, weekday_hour_means
+from salescope.operators.totals import date_hour_cells, value_counts, weekday_hour_means_of_cells
 from salescope.plans.demand import daily
 from salescope.plans.registry import CELLS, DAILY, IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
-from salescope.plans.totals import dated_cells, identity, products
-from salescope.sources.views import sales, table
+from salescope.plans.totals import identity, products
+from salescope.session import cut_lineage
+from salescope.sources.views import event_lines, sales, table
 
 TREND = """
 trend AS (
@@ -94,14 +96,20 @@ PLAN = """
 grown AS (SELECT day_name, hour, revenue * (1 + growth) AS predicted_revenue, units * (1 + growth) AS predicted_units FROM cells, growth),
 plan AS (
   SELECT *, avg(predicted_revenue) OVER () AS cell_mean,
-         CASE WHEN predicted_revenue > 1.05::DOUBLE * avg(predicted_revenue) OVER () THEN 8
-              WHEN predicted_revenue < 0.95::DOUBLE * avg(predicted_revenue) OVER () THEN 3 ELSE 5 END AS predicted_staff FROM grown)
-""".replace("1.05::DOUBLE", "1.3::DOUBLE").replace("0.95::DOUBLE", "0.7::DOUBLE")
+         CASE WHEN predicted_revenue > 1.3::DOUBLE * avg(predicted_revenue) OVER () THEN 8
+              WHEN predicted_revenue < 0.7::DOUBLE * avg(predicted_revenue) OVER () THEN 3 ELSE 5 END AS predicted_staff FROM grown)
+"""
+
+
+def _plan(lines):
+    cells = cut_lineage(date_hour_cells(lines))
+    growth = one_row(outlook.weekly_growth(cells))["growth"]
+    return outlook.staffing_plan(weekday_hour_means_of_cells(cells), growth), growth
 
 
 def plan(spark, d):
-    growth = one_row(outlook.weekly_growth(daily(spark, d)))["growth"]
-    return outlook.staffing_plan(weekday_hour_means(dated_cells(spark, d)), growth), growth
+    lines = sales(spark, d, "order_date", "order_time", "total_price", "quantity")
+    return _plan(lines.withColumn("hour", clock_hour(F.col("order_time"))))
 
 
 @query(
@@ -122,22 +130,17 @@ growth AS (SELECT 0.05::DOUBLE AS growth)"""
 
 
 def event_plan(spark, d):
-    from salescope.sources.views import event_lines
-
-    lines = event_lines(spark, d).withColumn("day_name", F.date_format("date", "EEEE"))
-    # five weeks of events are less than the eight the weekly growth needs, so its default applies
-    by_day = lines.groupBy(F.col("date").alias("order_date")).agg(F.sum("total_price").alias("revenue"))
-    growth = one_row(outlook.weekly_growth(by_day))["growth"]
-    return outlook.staffing_plan(weekday_hour_means(lines), growth), growth
+    """Five weeks of events are less than the eight the weekly growth needs, so its default applies."""
+    return _plan(event_lines(spark, d).withColumnRenamed("date", "order_date"))
 
 
 @query(
     "event_staffing_plan",
-    sql(EVENT_CELLS, PLAN, select=f"SELECT day_name, hour, {R('predicted_revenue', 4)} AS predicted_revenue, predicted_staff FROM plan"),
+    sql(EVENT_CELLS, PLAN, select=f"SELECT day_name, hour, {R('predicted_revenue', 9)} AS predicted_revenue, predicted_staff FROM plan"),
 )
 def event_staffing_plan(spark, d):
     cells, _ = event_plan(spark, d)
-    return rounded(cells.select("day_name", "hour", "predicted_revenue", "predicted_staff"), 4)
+    return rounded(cells.select("day_name", "hour", "predicted_revenue", "predicted_staff"), 9)
 
 
 @query(
@@ -190,7 +193,7 @@ ranked AS (
                {R('running_revenue / total * 100', 6)} AS cumulative_pct FROM ranked"""),
 )
 def pareto_table(spark, d):
-    got = outlook.pareto(products(spark, d).select("item_name", "revenue", "units"))
+    got = outlook.pareto(cut_lineage(products(spark, d).select("item_name", "revenue", "units")))
     return got.select("item_name", r("revenue", 2).alias("revenue"), "units", "rank",
                       r("running_revenue", 2).alias("running_revenue"), r("cumulative_pct").alias("cumulative_pct"))
 
@@ -202,7 +205,7 @@ def pareto_table(spark, d):
 )
 def pareto_by_item_id(spark, d):
     sold = sales(spark, d, "item_id", "total_price").groupBy("item_id").agg(F.sum("total_price").alias("revenue"))
-    got = outlook.pareto(sold, key="item_id")
+    got = outlook.pareto(cut_lineage(sold), key="item_id")
     return got.select("item_id", r("revenue", 2).alias("revenue"), "rank", r("cumulative_pct").alias("cumulative_pct"))
 
 
@@ -213,18 +216,18 @@ def pareto_by_item_id(spark, d):
                {R('count(*) FILTER (running_revenue / total * 100 <= 80) / count(*)')} AS head_share FROM ranked"""),
 )
 def pareto_head(spark, d):
-    return rounded(outlook.pareto_head(outlook.pareto(products(spark, d).select("item_name", "revenue"))))
+    return rounded(outlook.pareto_head(outlook.pareto(cut_lineage(products(spark, d).select("item_name", "revenue")))))
 
 
 QUADRANTS = """
-both AS (SELECT i.item_name, i.unit_price, coalesce(p.units, 0) AS units FROM identity i LEFT JOIN products p USING (item_name)),
-quad AS (SELECT item_name, unit_price, units, unit_price > (SELECT median(unit_price) FROM both) AS dear, units > (SELECT median(units) FROM both) AS busy FROM both),
+pair AS (SELECT i.item_name, i.unit_price, coalesce(p.units, 0) AS units FROM identity i LEFT JOIN products p USING (item_name)),
+quad AS (SELECT item_name, unit_price, units, unit_price > (SELECT median(unit_price) FROM pair) AS dear, units > (SELECT median(units) FROM pair) AS busy FROM pair),
 named AS (SELECT *, CASE WHEN dear AND busy THEN 'Premium Star' WHEN busy THEN 'Value Star' WHEN dear THEN 'Premium Niche' ELSE 'Underperformer' END AS quadrant FROM quad)"""
 
 
 def quadrants(spark, d):
     both = identity(spark, d).select("item_name", "unit_price").join(products(spark, d).select("item_name", "units"), "item_name", "left")
-    return outlook.quadrants(both.fillna(0, ["units"]))
+    return outlook.quadrants(cut_lineage(both.fillna(0, ["units"])))
 
 
 @query(

@@ -10,6 +10,7 @@ from salescope.operators import totals
 from salescope.operators.ordered import first_row
 from salescope.operators.series import best_rows, best_value
 from salescope.plans.registry import CELLS, DAILY, HOURLY, IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
+from salescope.session import cut_lineage
 from salescope.sources.views import ITEM, event_lines, item_sales, sales, table
 
 
@@ -156,7 +157,8 @@ def segment_summary(spark, d):
         FROM segments"""),
 )
 def segment_names(spark, d):
-    named = totals.name_segments(totals.segment_summary(segmented(spark, d)), premium=2900, mid=2700, gourmet=1.5)
+    segments = cut_lineage(totals.segment_summary(segmented(spark, d)))
+    named = totals.name_segments(segments, premium=2900, mid=2700, gourmet=1.5)
     return named.select("cluster", "products", "segment")
 
 

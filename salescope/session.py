@@ -16,6 +16,7 @@ def build_session(app: str = "salescope", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
