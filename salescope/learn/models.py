@@ -81,7 +81,8 @@ def regressor(name: str, rows: int = 1, label_std: float = 1.0, width: int = 1,
     linear = {**common, "standardization": False, "fitIntercept": p.get("fit_intercept", True), "solver": solver,
               "maxIter": p.get("max_iter", 1000), "tol": 1e-10}
     if name == "LinearRegression":
-        return LinearRegression(**linear)
+        # without a penalty scaling changes no coefficient, and it settles collinear columns
+        return LinearRegression(**{**linear, "standardization": True, "tol": 1e-6})
     if name == "Ridge":
         return LinearRegression(**linear, regParam=p["alpha"] / rows * label_std, elasticNetParam=0.0)
     if name in ("Lasso", "ElasticNet"):

@@ -51,8 +51,14 @@ def kmeans(df: DataFrame, key: str, features: Sequence[str], k: int, init: str =
 
 
 def divisive(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """Hierarchical labels by repeated bisection."""
-    data = vectors(df, features).select(key, "features").persist()
+    """Hierarchical labels by repeated bisection.
+
+    Spark starts a split by nudging the centre in proportion to its length, which does nothing to centred
+    data; the points are moved away from the origin first, and moving all points changes no cluster.
+    """
+    ends = one_row(df.agg(*[f(c).alias(f"{n}_{c}") for c in features for n, f in (("lo", F.min), ("hi", F.max))]))
+    moved = df.select(key, *[(F.col(c) - 2 * ends[f"lo_{c}"] + ends[f"hi_{c}"] + 1).alias(c) for c in features])
+    data = vectors(moved, features).select(key, "features").persist()
     return _predict(BisectingKMeans(k=k, seed=seed).fit(data), data, key)
 
 

@@ -136,11 +136,11 @@ def event_plan(spark, d):
 
 @query(
     "event_staffing_plan",
-    sql(EVENT_CELLS, PLAN, select=f"SELECT day_name, hour, {R('predicted_revenue', 9)} AS predicted_revenue, predicted_staff FROM plan"),
+    sql(EVENT_CELLS, PLAN, select=f"SELECT day_name, hour, {R('predicted_revenue', 11)} AS predicted_revenue, predicted_staff FROM plan"),
 )
 def event_staffing_plan(spark, d):
     cells, _ = event_plan(spark, d)
-    return rounded(cells.select("day_name", "hour", "predicted_revenue", "predicted_staff"), 9)
+    return rounded(cells.select("day_name", "hour", "predicted_revenue", "predicted_staff"), 11)
 
 
 @query(
