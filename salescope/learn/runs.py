@@ -116,15 +116,21 @@ def run_bucket(name: Column, buckets: Sequence[tuple[str, Sequence[str], int]] =
     return out.otherwise("other")
 
 
-def runs_to_delete(runs: DataFrame, name: str = "run_name", started: str = "started",
+def runs_to_delete(runs: DataFrame, name: str = "run_name", started: str = "started", key: str = "run_id",
                    buckets: Sequence[tuple[str, Sequence[str], int]] = RETENTION) -> DataFrame:
-    """Unnamed runs and, per bucket, all but the newest runs."""
+    """Unnamed runs and, per bucket, all but the newest runs; ``key`` identifies a run.
+
+    Only the runs to keep are ranked (a short top list per bucket); the rest are found by an anti join.
+    """
     tagged = runs.withColumn("bucket", run_bucket(F.col(name), buckets))
-    age = F.row_number().over(W.partitionBy("bucket").orderBy(F.col(started).desc(), F.col(name)))
-    limit = F.lit(None).cast("int")
+    limited = tagged.where(F.col("bucket").isin([b for b, _, _ in buckets]))
+    kept = None
     for bucket, _, n in buckets:
-        limit = F.when(F.col("bucket") == bucket, n).otherwise(limit)
-    return tagged.withColumn("age", age).where((F.col("bucket") == "unnamed") | (F.col("age") > limit)).drop("age")
+        newest = first_row(limited.where(F.col("bucket") == bucket), F.col(started).desc(), F.col(name), F.col(key), n=n)
+        kept = newest.select(key) if kept is None else kept.unionByName(newest.select(key))
+    # kept holds at most the sum of the limits
+    old = limited.join(F.broadcast(kept), key, "left_anti") if kept is not None else limited
+    return old.unionByName(tagged.where(F.col("bucket") == "unnamed"))
 
 
 def typed_parameters(params: Column) -> Column:

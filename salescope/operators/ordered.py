@@ -85,6 +85,8 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], name:
         .groupBy(*keys, F.col(column).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("b", value_bucket(F.col("v")))
+        # never false; the join below would add it to one of the two readers only, and they could not share a shuffle
+        .where(F.col("b").isNotNull())
     )
     by_bucket = counts.groupBy(*by).agg(F.sum("n").alias("bn"))
     per_key = W.partitionBy(*keys)
@@ -104,19 +106,22 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], name:
             ]
         )
     )
+    # at most two ranks per probability (and key) remain, gathered by the bucket that holds them
     hits = (
         located.withColumn("w", ranks)
         .where((F.col("w.rank") >= F.col("start")) & (F.col("w.rank") < F.col("start") + F.col("bn")))
-        .select(*by, "total", F.col("w.i").alias("i"), F.col("w.side").alias("side"),
-                (F.col("w.rank") - F.col("start")).alias("rank"))
+        .groupBy(*by)
+        .agg(
+            F.max("total").alias("total"),
+            F.collect_list(F.struct("w.i", "w.side", (F.col("w.rank") - F.col("start")).alias("rank"))).alias("ws"),
+        )
     )
-    # without keys, hits has two rows per probability
-    small = (lambda x: x) if keys else F.broadcast
-    needed = counts.join(small(hits.select(*by).distinct()), by, "left_semi")
+    needed = counts.join(hits if keys else F.broadcast(hits), by)
     inside = W.partitionBy(*by).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = needed.withColumn("end", F.sum("n").over(inside))
-    picked = ranked.join(small(hits), by).where(
-        (F.col("rank") >= F.col("end") - F.col("n")) & (F.col("rank") < F.col("end"))
+    picked = (
+        needed.withColumn("end", F.sum("n").over(inside))
+        .select(*keys, "v", "n", "end", "total", F.inline("ws"))
+        .where((F.col("rank") >= F.col("end") - F.col("n")) & (F.col("rank") < F.col("end")))
     )
 
     def at(i: int, side: str) -> Column:

@@ -36,6 +36,13 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     )
 
 
+def daily_sales_of_orders(orders: DataFrame) -> DataFrame:
+    """The same series from order subtotals, where every order is one row of one date."""
+    return orders.groupBy("order_date").agg(
+        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), F.count(F.lit(1)).alias("num_orders")
+    )
+
+
 def product_sales(per_item: DataFrame, key: str = "item_name") -> DataFrame:
     """Revenue and units by product, from lines or from item subtotals."""
     return per_item.groupBy(key).agg(F.sum("total_price").alias("revenue"), F.sum("quantity").alias("units"))
@@ -124,6 +131,11 @@ def date_hour_cells(lines: DataFrame) -> DataFrame:
     )
 
 
+def date_hour_cells_of_orders(orders: DataFrame) -> DataFrame:
+    """The same cells from order subtotals."""
+    return orders.groupBy("order_date", "hour").agg(*[F.sum(c).alias(c) for c in ("revenue", "units", "lines")])
+
+
 def weekday_hour_means_of_cells(cells: DataFrame) -> DataFrame:
     """The same means per line as ``weekday_hour_means``, from date and hour cells."""
     lines = F.sum("lines")

@@ -8,6 +8,7 @@ from salescope.functions.items import add_label_code, ingredient_count
 from salescope.learn.runs import cluster_champion
 from salescope.operators import clusters
 from salescope.operators.density import dbscan
+from salescope.operators.ordered import number_rows
 from salescope.plans.registry import IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
 from salescope.plans.totals import identity, products
 from salescope.session import cut_lineage
@@ -19,13 +20,13 @@ FEATURES = ["unit_price", "ingredient_count", "size_code", "category_code"]
 def product_points(spark, d):
     """Numbered products (by name) with their four features, unscaled."""
     named = identity(spark, d).withColumn("ingredient_count", ingredient_count(F.col("ingredients")).cast("double"))
-    for column, code in (("item_size", "size_code"), ("category", "category_code"), ("item_name", "id")):
+    for column, code in (("item_size", "size_code"), ("category", "category_code")):
         named = add_label_code(named, column, code)
-    return named.select("id", "item_name", *FEATURES)
+    return number_rows(named.select("item_name", *FEATURES), [F.col("item_name")], "id")
 
 
 def scaled_products(spark, d):
-    return cut_lineage(clusters.standardise(cut_lineage(product_points(spark, d)), FEATURES))
+    return cut_lineage(clusters.standardise(product_points(spark, d), FEATURES))
 
 
 POINTS = """

@@ -9,7 +9,7 @@ from salescope.operators.outlook import demand_advice
 from salescope.plans.registry import DAILY, HOURLY, R, SALES, query, r, row_spread_sql, rounded, sql
 from salescope.plans.profiles import SPLIT_CASE, SPLIT_KEYS
 from salescope.session import cut_lineage
-from salescope.sources.views import event_lines, sales, table
+from salescope.sources.views import event_lines, order_sales, sales, table
 
 
 def hourly(spark, d):
@@ -73,7 +73,7 @@ def demand_lags_by_type(spark, d):
 
 def daily(spark, d):
     """Daily series, one row per calendar day; fixed in storage because forecasts read it several times."""
-    return cut_lineage(totals.daily_sales(sales(spark, d, "order_id", "order_date", "total_price", "quantity")))
+    return cut_lineage(totals.daily_sales_of_orders(order_sales(spark, d, "order_date")))
 
 
 @query(

@@ -10,7 +10,7 @@ from salescope.operators.neighbours import knn_classification, knn_regression
 from salescope.plans.demand import LAGS, SPLIT, hourly, split_hours
 from salescope.plans.profiles import SPLIT_CASE, SPLIT_KEYS
 from salescope.plans.registry import HOURLY, R, SALES, query, r, rounded, sql
-from salescope.session import cut_lineage, scratch_path
+from salescope.session import cut_lineage, fixed_and_spread, scratch_path
 from salescope.sources.views import sales, table
 
 SETS = ("train", "val", "test")
@@ -222,7 +222,7 @@ RETAIN = [("revenue", ["purchase", "signup"], 100), ("quantity", ["view"], 50)]
     "run_retention",
     """WITH b AS (SELECT event_id, ts, CASE WHEN event_type = 'error' THEN '' ELSE upper(event_type) END AS run_name FROM events),
        t AS (SELECT *, CASE WHEN run_name = '' THEN 'unnamed' WHEN lower(run_name) IN ('purchase', 'signup') THEN 'revenue' WHEN lower(run_name) = 'view' THEN 'quantity' ELSE 'other' END AS bucket FROM b),
-       a AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY ts DESC, run_name) AS age FROM t)
+       a AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY ts DESC, run_name, event_id) AS age FROM t)
        SELECT bucket, count(*) AS runs, min(event_id) AS first_run, max(event_id) AS last_run FROM a
        WHERE bucket = 'unnamed' OR (bucket = 'revenue' AND age > 100) OR (bucket = 'quantity' AND age > 50) GROUP BY 1""",
 )
@@ -230,7 +230,7 @@ def run_retention(spark, d):
     logged = table(spark, d, "events").select(
         "event_id", F.col("ts").alias("started"), F.when(F.col("event_type") == "error", "").otherwise(F.upper("event_type")).alias("run_name")
     )
-    old = runs.runs_to_delete(logged, buckets=RETAIN)
+    old = runs.runs_to_delete(logged, key="event_id", buckets=RETAIN)
     return old.groupBy("bucket").agg(F.count(F.lit(1)).alias("runs"), F.min("event_id").alias("first_run"), F.max("event_id").alias("last_run"))
 
 
@@ -351,8 +351,8 @@ tr AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) AS sxy,
 
 def line_regression(spark, d):
     split = series.random_split(sales(spark, d, *SPLIT_KEYS, "quantity", "total_price"), SPLIT_KEYS)
-    data = split.select("quantity", F.col("total_price").alias("label"), "split")
-    return models.VectorAssembler(inputCols=["quantity"], outputCol="features").transform(data).persist()
+    data = fixed_and_spread(split.select("quantity", F.col("total_price").alias("label"), "split"))
+    return models.VectorAssembler(inputCols=["quantity"], outputCol="features").transform(data)
 
 
 def fitted_line(spark, d, name, **params):
@@ -492,7 +492,8 @@ def demand_model_ensemble(spark, d):
 
 
 def revenue_data(spark, d):
-    return models.revenue_features(sales(spark, d))
+    """Feature table fixed in storage: fitting the indexer, the model and the metrics each read it."""
+    return fixed_and_spread(models.revenue_features(sales(spark, d)))
 
 
 @query("revenue_linear_model")

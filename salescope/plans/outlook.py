@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salescope.operators import outlook
-from salescope.functions.times import clock_hour
 from salescope.operators.ordered import one_row
 from salescope.operators.totals import date_hour_cells, value_counts, weekday_hour_means_of_cells
 from salescope.plans.demand import daily
 from salescope.plans.registry import CELLS, DAILY, IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
-from salescope.plans.totals import identity, products
+from salescope.plans.totals import identity, products, sales_cells
 from salescope.session import cut_lineage
 from salescope.sources.views import event_lines, sales, table
 
@@ -101,15 +100,14 @@ plan AS (
 """
 
 
-def _plan(lines):
-    cells = cut_lineage(date_hour_cells(lines))
+def _plan(cells):
+    cells = cut_lineage(cells)
     growth = one_row(outlook.weekly_growth(cells))["growth"]
     return outlook.staffing_plan(weekday_hour_means_of_cells(cells), growth), growth
 
 
 def plan(spark, d):
-    lines = sales(spark, d, "order_date", "order_time", "total_price", "quantity")
-    return _plan(lines.withColumn("hour", clock_hour(F.col("order_time"))))
+    return _plan(sales_cells(spark, d))
 
 
 @query(
@@ -131,7 +129,7 @@ growth AS (SELECT 0.05::DOUBLE AS growth)"""
 
 def event_plan(spark, d):
     """Five weeks of events are less than the eight the weekly growth needs, so its default applies."""
-    return _plan(event_lines(spark, d).withColumnRenamed("date", "order_date"))
+    return _plan(date_hour_cells(event_lines(spark, d).withColumnRenamed("date", "order_date")))
 
 
 @query(
@@ -146,23 +144,23 @@ def event_staffing_plan(spark, d):
 @query(
     "staffing_by_day",
     sql(EVENT_CELLS, PLAN, select=f"""
-        SELECT day_name, CAST(sum(predicted_staff) AS BIGINT) AS staff_hours, {R('sum(predicted_revenue)', 4)} AS predicted_revenue,
-               {R('sum(predicted_units)', 4)} AS predicted_units FROM plan GROUP BY 1"""),
+        SELECT day_name, CAST(sum(predicted_staff) AS BIGINT) AS staff_hours, {R('sum(predicted_revenue)', 9)} AS predicted_revenue,
+               {R('sum(predicted_units)', 9)} AS predicted_units FROM plan GROUP BY 1"""),
 )
 def staffing_by_day(spark, d):
-    return rounded(outlook.staffing_by_day(event_plan(spark, d)[0]), 4)
+    return rounded(outlook.staffing_by_day(event_plan(spark, d)[0]), 9)
 
 
 @query(
     "staffing_by_hour",
     sql(EVENT_CELLS, PLAN, "h AS (SELECT hour, avg(predicted_staff) AS s, avg(predicted_revenue) AS v, avg(predicted_units) AS u, max(cell_mean) AS m FROM plan GROUP BY 1)",
-        select=f"""SELECT hour, {R('s')} AS mean_staff, {R('v', 4)} AS predicted_revenue, {R('u', 4)} AS predicted_units,
+        select=f"""SELECT hour, {R('s')} AS mean_staff, {R('v', 9)} AS predicted_revenue, {R('u', 9)} AS predicted_units,
           CASE WHEN v > m * 1.3::DOUBLE THEN 'High Staffing' WHEN v < m * 0.7::DOUBLE THEN 'Low Staffing' ELSE 'Normal Staffing' END AS staff_level FROM h"""),
 )
 def staffing_by_hour(spark, d):
     got = outlook.staffing_by_hour(event_plan(spark, d)[0])
-    return got.select("hour", r("mean_staff").alias("mean_staff"), r("predicted_revenue", 4).alias("predicted_revenue"),
-                      r("predicted_units", 4).alias("predicted_units"), "staff_level")
+    return got.select("hour", r("mean_staff").alias("mean_staff"), r("predicted_revenue", 9).alias("predicted_revenue"),
+                      r("predicted_units", 9).alias("predicted_units"), "staff_level")
 
 
 @query(

@@ -11,7 +11,7 @@ from salescope.operators.ordered import first_row
 from salescope.operators.series import best_rows, best_value
 from salescope.plans.registry import CELLS, DAILY, HOURLY, IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
 from salescope.session import cut_lineage
-from salescope.sources.views import ITEM, event_lines, item_sales, sales, table
+from salescope.sources.views import ITEM, event_lines, item_sales, order_sales, sales, table
 
 
 def products(spark, d):
@@ -43,6 +43,12 @@ def dated_cells(spark, d, *more):
     return lines.withColumns({"day_name": F.date_format("order_date", "EEEE"), "hour": clock_hour(F.col("order_time"))})
 
 
+def sales_cells(spark, d):
+    """Revenue, units and lines by date and hour; the hour is a property of the order."""
+    orders = order_sales(spark, d, "order_date", "order_time")
+    return totals.date_hour_cells_of_orders(orders.withColumn("hour", clock_hour(F.col("order_time"))))
+
+
 @query(
     "hourly_demand",
     sql(HOURLY, select=f"SELECT CAST(date AS VARCHAR) AS date, hour, units, num_orders, {R('revenue', 4)} AS revenue FROM hourly"),
@@ -65,7 +71,7 @@ def hourly_demand_by_type(spark, d):
     sql(SALES, DAILY, select=f"SELECT CAST(order_date AS VARCHAR) AS order_date, {R('revenue', 2)} AS revenue, units, num_orders FROM daily"),
 )
 def daily_sales(spark, d):
-    return rounded(totals.daily_sales(sales(spark, d, "order_id", "order_date", "total_price", "quantity")), 2)
+    return rounded(totals.daily_sales_of_orders(order_sales(spark, d, "order_date")), 2)
 
 
 @query("product_sales", sql(SALES, PRODUCTS, select=f"SELECT item_name, {R('revenue', 2)} AS revenue, units FROM products"))
@@ -78,7 +84,7 @@ def product_sales(spark, d):
     sql(SALES, CELLS, select=f"SELECT day_name, hour, {R('revenue', 4)} AS revenue, {R('units', 4)} AS units, lines FROM cells"),
 )
 def weekday_hour_means(spark, d):
-    return rounded(totals.weekday_hour_means(dated_cells(spark, d)), 4)
+    return rounded(totals.weekday_hour_means_of_cells(sales_cells(spark, d)), 4)
 
 
 LAST_WEEK = """
@@ -96,6 +102,16 @@ def last_week_cells(spark, d):
     return totals.weekday_hour_totals(lines)
 
 
+@query(
+    "line_means_by_type",
+    f"""SELECT dayname(ts) AS day_name, CAST(hour(ts) AS INTEGER) AS hour, {R('avg(value)', 9)} AS revenue, 1.0::DOUBLE AS units, count(*) AS lines
+        FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""",
+)
+def line_means_by_type(spark, d):
+    lines = totals.keep(event_lines(spark, d), item_name="purchase").withColumn("day_name", F.date_format("date", "EEEE"))
+    return rounded(totals.weekday_hour_means(lines), 9)
+
+
 @query(
     "last_week_cells",
     sql(SALES, LAST_WEEK, select=f"SELECT day_name, hour, {R('revenue', 2)} AS revenue, units, num_orders FROM week_cells"),
@@ -199,7 +215,7 @@ HOURS = list(range(9, 23))
         f"{R(f'coalesce(avg(CASE WHEN hour = {h} THEN total_price END), 0)', 4)} AS h{h}" for h in HOURS) + " FROM sales GROUP BY dayname(order_date)"),
 )
 def revenue_heatmap(spark, d):
-    return rounded(totals.heatmap(totals.weekday_hour_means(dated_cells(spark, d)), "revenue", HOURS), 4)
+    return rounded(totals.heatmap(totals.weekday_hour_means_of_cells(sales_cells(spark, d)), "revenue", HOURS), 4)
 
 
 @query(
@@ -242,7 +258,7 @@ def peak_hours(spark, d):
         UNION ALL (SELECT 'worst', hour, {R('revenue', 4)} FROM h ORDER BY h.revenue, hour LIMIT 1)"""),
 )
 def best_and_worst_hour(spark, d):
-    by_hour = totals.hour_means(totals.weekday_hour_means(dated_cells(spark, d)), ["revenue"])
+    by_hour = totals.hour_means(totals.weekday_hour_means_of_cells(sales_cells(spark, d)), ["revenue"])
     best = first_row(by_hour, F.col("revenue").desc(), F.col("hour"))
     worst = first_row(by_hour, F.col("revenue").asc(), F.col("hour"))
     both = best.select(F.lit("best").alias("kind"), "*").unionByName(worst.select(F.lit("worst").alias("kind"), "*"))

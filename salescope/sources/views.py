@@ -80,6 +80,24 @@ def item_sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     )
 
 
+def order_sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Per order: revenue, units and lines, with order columns attached.
+
+    Lines collapse to one row per order on the key the join needs anyway, so the line table is shuffled
+    once and distinct orders become plain row counts.
+    """
+    per_order = (
+        table(spark, folder, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(
+            F.sum("l_extendedprice").alias("revenue"), F.sum("l_quantity").alias("units"), F.count(F.lit(1)).alias("lines")
+        )
+    )
+    joined = per_order.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    known = {**LINE, **ORDER}
+    return joined.select("revenue", "units", "lines", *[known[c]().alias(c) for c in columns])
+
+
 def event_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The event log read as sales lines with a real time of day."""
     return table(spark, folder, "events").select(
