@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,10 +46,21 @@ def indexed_one_hot(columns: Sequence[str]) -> list:
 
 
 def assemble(numeric: Sequence[str], categorical: Sequence[str] = ()) -> Pipeline:
-    """Pipeline from raw columns to ``features``."""
+    """Pipeline from raw columns to ``features``.
+
+    Columns that are constant in the data fitted on are left out: they carry nothing, and with them the
+    normal equations have no unique solution.
+    """
     stages = indexed_one_hot(categorical) if categorical else []
     inputs = [*numeric, *[f"{c}_vec" for c in categorical]]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
+    return Pipeline(
+        stages=[
+            *stages,
+            VectorAssembler(inputCols=inputs, outputCol="all_features"),
+            VarianceThresholdSelector(featuresCol="all_features", outputCol="features", varianceThreshold=0.0),
+            SQLTransformer(statement="SELECT * EXCEPT (all_features) FROM __THIS__"),
+        ]
+    )
 
 
 def impute(df: DataFrame, numeric: Sequence[str], one_hot: Sequence[str] = ()) -> DataFrame:

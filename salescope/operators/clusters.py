@@ -23,15 +23,15 @@ from salescope.session import cut_lineage
 NO_SCORE = -1.0
 
 
-def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns minus their mean over the population deviation; a constant column is only centred."""
-    stats = one_row(
-        df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))])
-    )
-    scaled = {
-        c: (F.col(c) - stats[f"m_{c}"]) / F.when(stats[f"s_{c}"] == 0, 1.0).otherwise(stats[f"s_{c}"]) for c in columns
-    }
-    return df.withColumns(scaled)
+def standardise(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Columns minus their mean over the population deviation; a constant column is only centred.
+
+    ``fit_on`` takes mean and deviation from other rows, such as the train split. Two numbers per column
+    are fetched, from one pass.
+    """
+    source = df if fit_on is None else fit_on
+    stats = source.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    return df.withColumns({c: (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0) for c in columns})
 
 
 def vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window as W, functions as F
 
-from salescope.learn import baselines, metrics, models, runs
+from salescope.learn import baselines, compare, metrics, models, runs
 from salescope.operators import series
 from salescope.operators.neighbours import knn_classification, knn_regression
 from salescope.plans.demand import LAGS, SPLIT, hourly, split_hours
@@ -562,3 +562,25 @@ def champion_refit_and_reload(spark, d):
     same = sample.join(models.score(fitted, test).select("hour_key", F.col("prediction").alias("before")), "hour_key")
     checked = same.agg(F.max(F.abs(F.col("prediction") - F.col("before"))).alias("m")).scalar()
     return metrics.regression_metrics(models.score(copy, test)).withColumn("reload_gap", checked)
+
+
+@query("forecaster_comparison")
+def forecaster_comparison(spark, d):
+    data = demand_table(spark, d).withColumn("split", F.when(F.col("split") == "train", "train").otherwise("test"))
+    few = {k: compare.FORECASTERS[k] for k in ("Linear Regression", "Ridge Regression", "Lasso Regression", "KNN Regression", "Decision Tree")}
+    return compare.compare_forecasters(data, series.DEMAND_FEATURES, "hour_key", ["hour_key"], window=7, forecasters=few)
+
+
+@query("promotion_classifier_comparison")
+def promotion_classifier_comparison(spark, d):
+    """Promoted items told from the rest by price, size and brand."""
+    data = class_data(spark, d).drop("features").withColumn("label", (F.col("p_type") == "PROMO").cast("double"))
+    few = {k: compare.CLASSIFIERS[k] for k in ("Logistic Regression", "Naive Bayes", "Decision Tree", "KNN")}
+    return compare.compare_classifiers(data, ["p_retailprice", "size", "brand"], "p_partkey", depth=5, chosen=few)
+
+
+@query("clustering_comparison")
+def clustering_comparison(spark, d):
+    part = table(spark, d, "part")
+    data = part.select("p_partkey", "p_retailprice", F.col("p_size").cast("double").alias("size"))
+    return compare.compare_clusterings(data, "p_partkey", ["p_retailprice", "size"], k=3, eps=0.2, min_samples=4)
