@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from salescope.operators.ordered import one_row, quantiles
+from salescope.session import cut_lineage
 
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -86,8 +87,8 @@ def heatmap(cells: DataFrame, value: str, hours: Sequence[int], row: str = "day_
 
 
 def share_of_total(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Sum by key and its share of the whole, taken from a one-row total over the groups."""
-    groups = df.groupBy(key).agg(F.sum(value).alias(value))
+    """Sum by key and its share of the whole; the groups are fixed once and give both."""
+    groups = cut_lineage(df.groupBy(key).agg(F.sum(value).alias(value)))
     whole = groups.agg(F.sum(value).alias("t")).scalar()
     return groups.withColumn("share", F.try_divide(F.col(value), whole))
 

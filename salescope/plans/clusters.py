@@ -10,16 +10,17 @@ from salescope.operators import clusters
 from salescope.operators.density import dbscan
 from salescope.operators.ordered import number_rows
 from salescope.plans.registry import IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
-from salescope.plans.totals import identity, products
+from salescope.plans.totals import identity, item_base, products
 from salescope.session import cut_lineage
-from salescope.sources.views import table
+from salescope.sources.views import item_sales, table
 
 FEATURES = ["unit_price", "ingredient_count", "size_code", "category_code"]
 
 
 def product_points(spark, d):
     """Numbered products (by name) with their four features, unscaled."""
-    named = identity(spark, d).withColumn("ingredient_count", ingredient_count(F.col("ingredients")).cast("double"))
+    described = identity(item_base(spark, d))
+    named = cut_lineage(described.withColumn("ingredient_count", ingredient_count(F.col("ingredients")).cast("double")))
     for column, code in (("item_size", "size_code"), ("category", "category_code")):
         named = add_label_code(named, column, code)
     return number_rows(named.select("item_name", *FEATURES), [F.col("item_name")], "id")
@@ -235,7 +236,7 @@ def cluster_bundles(spark, d):
     labels = points.select("id", "item_name").join(
         clusters.kmeans(points, "id", ["unit_price", "ingredient_count", "size_code"], 5), "id"
     )
-    return clusters.cluster_bundles(products(spark, d), labels.select("item_name", "cluster"))
+    return clusters.cluster_bundles(products(item_sales(spark, d, "item_name")), labels.select("item_name", "cluster"))
 
 
 @query(
@@ -251,6 +252,8 @@ def cluster_bundles(spark, d):
         FROM g WHERE items >= 2"""),
 )
 def category_bundles(spark, d):
-    labels = add_label_code(identity(spark, d).select("item_name", "category"), "category", "cluster").select("item_name", "cluster")
-    got = clusters.cluster_bundles(products(spark, d), labels)
+    base = item_base(spark, d)
+    kinds = cut_lineage(identity(base).select("item_name", "category"))
+    labels = cut_lineage(add_label_code(kinds, "category", "cluster").select("item_name", "cluster"))
+    got = clusters.cluster_bundles(products(base), labels)
     return got.withColumn("members", F.array_join("members", ","))

@@ -10,7 +10,8 @@ from salescope.learn.models import impute_exact
 from salescope.operators.ordered import quantiles
 from salescope.operators.totals import daily_sales, keep
 from salescope.plans.registry import MEAL, R, SALES, query, r, rounded, sql
-from salescope.sources.views import sales, table
+from salescope.session import cut_lineage
+from salescope.sources.views import item_sales, sales, table
 
 
 def _dates(spark, d):
@@ -201,7 +202,7 @@ def category_one_hot(spark, d):
     sql(SALES, select="SELECT category, CAST(dense_rank() OVER (ORDER BY category) - 1 AS INTEGER) AS code, count(*) AS lines FROM sales GROUP BY category"),
 )
 def label_codes(spark, d):
-    counted = sales(spark, d, "category").groupBy("category").agg(F.count(F.lit(1)).alias("lines"))
+    counted = cut_lineage(item_sales(spark, d, "category").groupBy("category").agg(F.sum("lines").alias("lines")))
     return items.add_label_code(counted, "category", "code")
 
 

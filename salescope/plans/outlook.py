@@ -9,9 +9,9 @@ from salescope.operators.ordered import one_row
 from salescope.operators.totals import date_hour_cells, value_counts, weekday_hour_means_of_cells
 from salescope.plans.demand import daily
 from salescope.plans.registry import CELLS, DAILY, IDENTITY, PRODUCTS, R, SALES, query, r, rounded, sql
-from salescope.plans.totals import identity, products, sales_cells
+from salescope.plans.totals import identity, item_base, products, sales_cells
 from salescope.session import cut_lineage
-from salescope.sources.views import event_lines, sales, table
+from salescope.sources.views import event_lines, item_sales, sales, table
 
 TREND = """
 trend AS (
@@ -191,7 +191,7 @@ ranked AS (
                {R('running_revenue / total * 100', 6)} AS cumulative_pct FROM ranked"""),
 )
 def pareto_table(spark, d):
-    got = outlook.pareto(cut_lineage(products(spark, d).select("item_name", "revenue", "units")))
+    got = outlook.pareto(cut_lineage(products(item_sales(spark, d, "item_name")).select("item_name", "revenue", "units")))
     return got.select("item_name", r("revenue", 2).alias("revenue"), "units", "rank",
                       r("running_revenue", 2).alias("running_revenue"), r("cumulative_pct").alias("cumulative_pct"))
 
@@ -214,7 +214,7 @@ def pareto_by_item_id(spark, d):
                {R('count(*) FILTER (running_revenue / total * 100 <= 80) / count(*)')} AS head_share FROM ranked"""),
 )
 def pareto_head(spark, d):
-    return rounded(outlook.pareto_head(outlook.pareto(cut_lineage(products(spark, d).select("item_name", "revenue")))))
+    return rounded(outlook.pareto_head(outlook.pareto(cut_lineage(products(item_sales(spark, d, "item_name")).select("item_name", "revenue")))))
 
 
 QUADRANTS = """
@@ -224,7 +224,8 @@ named AS (SELECT *, CASE WHEN dear AND busy THEN 'Premium Star' WHEN busy THEN '
 
 
 def quadrants(spark, d):
-    both = identity(spark, d).select("item_name", "unit_price").join(products(spark, d).select("item_name", "units"), "item_name", "left")
+    base = item_base(spark, d)
+    both = identity(base).select("item_name", "unit_price").join(products(base).select("item_name", "units"), "item_name", "left")
     return outlook.quadrants(cut_lineage(both.fillna(0, ["units"])))
 
 

@@ -14,17 +14,21 @@ from salescope.session import cut_lineage
 from salescope.sources.views import ITEM, event_lines, item_sales, order_sales, sales, table
 
 
-def products(spark, d):
-    return item_sales(spark, d, "item_name").groupBy("item_name").agg(
+def item_base(spark, d):
+    """Item subtotals with item attributes, read from the lines once and fixed for the summaries built on it."""
+    return cut_lineage(item_sales(spark, d, "item_name", "item_size", "category", "ingredients"))
+
+
+def products(base):
+    return base.groupBy("item_name").agg(
         F.sum("total_price").alias("revenue"), F.sum("quantity").alias("units"), F.sum("lines").alias("lines"),
         F.sum("unit_price_sum").alias("unit_price_sum"),
     )
 
 
-def identity(spark, d):
-    """Product identity from item subtotals: item attributes are constant per item id, so lines shrink before the join."""
-    per_item = item_sales(spark, d, "item_name", "item_size", "category", "ingredients")
-    cells = per_item.groupBy("item_name", "item_size", "category").agg(
+def identity(base):
+    """Product identity from item subtotals; item attributes are constant per item id."""
+    cells = base.groupBy("item_name", "item_size", "category").agg(
         F.sum("lines").alias("n"), F.sum("unit_price_sum").alias("price_sum"), F.sum("lines").alias("price_n"),
         F.min("ingredients").alias("ingredients"),
     )
@@ -33,9 +37,10 @@ def identity(spark, d):
 
 def segmented(spark, d):
     """Products with identity, totals and a cluster number (the category code less one, so the first one is noise)."""
-    described = identity(spark, d).withColumn("ingredient_count", ingredient_count(F.col("ingredients")))
+    base = item_base(spark, d)
+    described = cut_lineage(identity(base).withColumn("ingredient_count", ingredient_count(F.col("ingredients"))))
     coded = add_label_code(described, "category", "code").withColumn("cluster", (F.col("code") - 1).cast("int"))
-    return coded.join(products(spark, d), "item_name", "left").fillna(0, ["revenue", "units"])
+    return cut_lineage(coded.join(products(base), "item_name", "left").fillna(0, ["revenue", "units"]))
 
 
 def dated_cells(spark, d, *more):
@@ -145,7 +150,7 @@ def headline_kpis(spark, d):
     sql(SALES, IDENTITY, select=f"SELECT item_name, {R('unit_price', 4)} AS unit_price, item_size, category, ingredients FROM identity"),
 )
 def product_identity(spark, d):
-    return rounded(identity(spark, d), 4)
+    return rounded(identity(item_base(spark, d)), 4)
 
 
 SEGMENTED = """
@@ -225,7 +230,7 @@ def revenue_heatmap(spark, d):
                {R('sum(total_price) / (SELECT sum(total_price) FROM sales)', 6)} AS share FROM sales GROUP BY category"""),
 )
 def category_share(spark, d):
-    shares = totals.share_of_total(item_sales(spark, d, "category"), "category", "total_price")
+    shares = cut_lineage(totals.share_of_total(item_sales(spark, d, "category"), "category", "total_price"))
     coded = add_label_code(shares, "category", "code")
     return coded.select("category", "code", r("total_price", 2).alias("total_price"), r("share").alias("share"))
 
@@ -258,7 +263,7 @@ def peak_hours(spark, d):
         UNION ALL (SELECT 'worst', hour, {R('revenue', 4)} FROM h ORDER BY h.revenue, hour LIMIT 1)"""),
 )
 def best_and_worst_hour(spark, d):
-    by_hour = totals.hour_means(totals.weekday_hour_means_of_cells(sales_cells(spark, d)), ["revenue"])
+    by_hour = cut_lineage(totals.hour_means(totals.weekday_hour_means_of_cells(sales_cells(spark, d)), ["revenue"]))
     best = first_row(by_hour, F.col("revenue").desc(), F.col("hour"))
     worst = first_row(by_hour, F.col("revenue").asc(), F.col("hour"))
     both = best.select(F.lit("best").alias("kind"), "*").unionByName(worst.select(F.lit("worst").alias("kind"), "*"))
@@ -272,8 +277,9 @@ def best_and_worst_hour(spark, d):
         LEFT JOIN identity i USING (item_name)"""),
 )
 def top_products(spark, d):
-    best = first_row(products(spark, d), F.col("units").desc(), F.col("item_name"), n=10).select("item_name", "units")
-    return best.join(identity(spark, d).select("item_name", r("unit_price", 4).alias("unit_price")), "item_name", "left")
+    base = item_base(spark, d)
+    best = first_row(products(base), F.col("units").desc(), F.col("item_name"), n=10).select("item_name", "units")
+    return best.join(identity(base).select("item_name", r("unit_price", 4).alias("unit_price")), "item_name", "left")
 
 
 @query(
@@ -281,7 +287,7 @@ def top_products(spark, d):
     sql(SALES, PRODUCTS, select=f"SELECT item_name, {R('revenue', 2)} AS revenue FROM products ORDER BY products.revenue, item_name LIMIT 5"),
 )
 def least_sold_products(spark, d):
-    return rounded(first_row(products(spark, d), F.col("revenue"), F.col("item_name"), n=5).select("item_name", "revenue"), 2)
+    return rounded(first_row(products(item_sales(spark, d, "item_name")), F.col("revenue"), F.col("item_name"), n=5).select("item_name", "revenue"), 2)
 
 
 @query(
@@ -320,7 +326,7 @@ def lines_of_top_brand_items(spark, d):
 def sorted_menu(spark, d):
     from pyspark.sql import Window as W
 
-    menu = item_sales(spark, d, "category", "item_name").select("category", "item_name").distinct()
+    menu = cut_lineage(item_sales(spark, d, "category", "item_name").select("category", "item_name").distinct())
     # categories are few; their sizes give each one its first place, and items are numbered inside their category
     inside = F.row_number().over(W.partitionBy("category").orderBy(F.col("item_name").desc()))
     sizes = menu.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
