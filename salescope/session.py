@@ -55,4 +55,4 @@ def fixed_and_spread(df: DataFrame) -> DataFrame:
     """Materialise ``df``; a small table that landed in fewer partitions than there are cores is dealt out again."""
     fixed = cut_lineage(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return fixed if fixed.rdd.getNumPartitions() >= cores else fixed.repartition(cores)
+    return fixed if fixed.rdd.getNumPartitions() >= cores else cut_lineage(fixed.repartition(cores))
