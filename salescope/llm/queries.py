@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salescope.llm import packing, pieces, token_streams
+from salescope.llm import packing, pieces, token_streams, windows
 from salescope.session import scratch_path
 
 QUERIES: dict = {}
@@ -34,3 +34,8 @@ def op1_token_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = pieces.encoded_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096, end_id=1)
     return packing.pack(cut, "length", 4096, ["doc_id", "piece"])
+
+
+@registered
+def op10_rabin_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.removed_words(table(spark, sf_dir, "documents"), 35)
