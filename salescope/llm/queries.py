@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import packing, pieces, simhash, token_streams, windows, winnowing
+from salescope.llm import language, packing, pieces, simhash, token_streams, windows, winnowing
 from salescope.session import scratch_path
 
 QUERIES: dict = {}
@@ -76,3 +76,11 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@registered
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    found = language.identify(docs.select("doc_id", "text"), docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
