@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import language, packing, pieces, simhash, token_streams, windows, winnowing
+from salescope.llm import language, packing, pieces, pii, simhash, token_streams, windows, winnowing
 from salescope.session import scratch_path
 
 QUERIES: dict = {}
@@ -84,3 +84,12 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(language.fold(F.col("doc_id"), 4) == 2, F.lit(False))
     found = language.identify(docs.select("doc_id", "text"), docs.where(~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@registered
+def op9_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(pii.ordered(F.col("base"))), 256).alias("base_sha256"),
+                        pii.joined(pii.ordered(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
