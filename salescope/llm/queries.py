@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import language, packing, pieces, pii, simhash, token_streams, windows, winnowing
+from salescope.llm import language, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
 from salescope.session import scratch_path
 
 QUERIES: dict = {}
@@ -93,3 +93,8 @@ def op9_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [(F.size("base") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined(pii.ordered(F.col("base"))), 256).alias("base_sha256"),
                         pii.joined(pii.ordered(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+@registered
+def op7_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspaces.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
