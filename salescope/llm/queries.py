@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import language, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
+from salescope.llm import columnwise, katz, language, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
 from salescope.session import scratch_path
 
 QUERIES: dict = {}
@@ -98,3 +98,15 @@ def op9_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspaces.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+@registered
+def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 5) == 1, F.lit(False))
+    found = katz.score(table(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("train")))
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@registered
+def op8_columnwise_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columnwise.removed_bytes(table(spark, sf_dir, "documents"), 100).drop("spans")
