@@ -128,11 +128,11 @@ def near_links(fps: DataFrame, radius: int, blocks: int = BLOCKS) -> DataFrame:
     return dealt.groupBy("task").applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int, radius: int = 3, blocks: int = BLOCKS) -> DataFrame:
     """doc_id, fp, component_id: the least doc_id that is reachable by links."""
     marks = stored(fingerprints(docs, shingle), "fingerprints")
     distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(near_links(distinct.select("fp"), radius))
+    roots = components(near_links(distinct.select("fp"), radius, blocks))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "roots")
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -114,6 +114,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
                          F.array_sort(F.array_distinct("items")).alias("_items"))
     spans = stored(spans, "hits")
     out = docs.withColumn("_key", key).join(spans, "_key", "left")
-    return out.select(*docs.columns, F.size(words(F.col("text"))).cast("long").alias("n_words"),
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.size(words(F.col("text"))).cast("long").alias("n_words"),
                       F.coalesce("_hit", F.lit(0)).cast("long").alias("n_hit"),
                       F.coalesce("_items", F.array().cast("array<string>")).alias("item_ids"), F.col("_hit").isNotNull().alias("contaminated"))
