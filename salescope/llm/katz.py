@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.llm import lookup
+from salescope.llm.common import stored
 from salescope.llm.ragged import BASE_B, Words, mix
 from salescope.llm.scans import cut, for_part, kept_by_part
 
@@ -132,8 +133,9 @@ def score(docs: DataFrame) -> DataFrame:
     messages = docs.mapInPandas(send, "order int, part int, block int, n_rows long, bucket int, n int, keys binary, counts binary")
     merged = messages.groupBy("order", "bucket").applyInPandas(
         merge, "part int, block int, n_rows long, order int, bucket int, n int, counts binary, keys binary, stats array<long>")
-    folder = kept_by_part(merged, "ngrams")  # part -1 holds the n-gram tables themselves, the others the answers
-    tables = docs.sparkSession.read.schema("order int, n long, stats array<long>, part int").parquet(folder).where("part = -1")
+    merged = stored(merged, "ngrams")  # a row for each bucket of the n-gram tables (part -1), and the answers to the blocks
+    tables = merged.where("part = -1")
+    folder = kept_by_part(merged.where("part >= 0").drop("stats"), "counts")
     sums = {r["order"]: r for r in tables.groupBy("order").agg(F.sum("n").alias("v"), *[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(CUT + 2)]).collect()}
     n_tokens = sums[1][f"s{CUT + 1}"] if 1 in sums else 0
     n_types = sums[1]["v"] if 1 in sums else 0

@@ -19,22 +19,23 @@ from pyspark.sql import DataFrame
 
 from salescope.session import scratch_path
 
-BLOCK_CHARS = 6 << 20
+BLOCK_CHARS = 8 << 20
 
 
 def cut(batches: Iterator[pd.DataFrame], size: int = BLOCK_CHARS) -> Iterator[tuple[int, int, pd.DataFrame]]:
     """(partition, block, rows) of this task's rows."""
     part, block, held, chars = TaskContext.get().partitionId(), 0, [], 0
     for batch in batches:
-        held.append(batch)
-        chars += int(batch["text"].str.len().fillna(0).sum())
-        if chars >= size:
-            yield part, block, pd.concat(held, ignore_index=True)
-            block, held, chars = block + 1, [], 0
+        begin = 0
+        for i, n in enumerate(batch["text"].str.len().fillna(0)):
+            chars += n
+            if chars >= size:
+                yield part, block, pd.concat([*held, batch.iloc[begin : i + 1]], ignore_index=True)
+                block, held, chars, begin = block + 1, [], 0, i + 1
+        if begin < len(batch):
+            held.append(batch.iloc[begin:])
     if held:
-        rows = pd.concat(held, ignore_index=True)
-        if len(rows):
-            yield part, block, rows
+        yield part, block, pd.concat(held, ignore_index=True)
 
 
 def kept_by_part(answers: DataFrame, name: str) -> str:
