@@ -111,6 +111,8 @@ def near_vectors(rows: DataFrame, cosine: float) -> DataFrame:
                         low = (own + move) * 2 * radius
                         away = np.maximum(np.maximum(low - lead, lead - low - 2 * radius), 0)
                         go = index[(away**2).sum(1) <= radius**2]
+                        if not len(go):
+                            continue
                         cell = own[go] + move
                         name = [f"{dimensions}:{block}:" + ":".join(map(str, c)) for c in cell.tolist()]
                         chosen = part.iloc[go]
@@ -140,7 +142,7 @@ def near_vectors(rows: DataFrame, cosine: float) -> DataFrame:
         some = np.flatnonzero(counts)
         node, root = forest(np.concatenate(a), np.concatenate(b))
         return pd.DataFrame({"vid": np.concatenate([vid[some], node]), "n": np.concatenate([counts[some], np.zeros(len(node), np.int64)]),
-                             "root": pd.array(np.concatenate([np.full(len(some), -1), root]), "Int64")})
+                             "root": np.concatenate([np.full(len(some), -1), root])})
 
     found = stored(dealt.groupBy("tile").applyInPandas(compare, "vid long, n long, root long"), "vector-links")
     counts = found.where("root = -1").groupBy("vid").agg(F.sum("n").alias("n"))
