@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salescope.learn import metrics, models
@@ -38,13 +39,14 @@ CLASSIFIERS = {
 
 
 def _collect(results: dict[str, Callable[[], DataFrame]], schema: str, spark) -> DataFrame:
-    """Run each entry to its one-row result; one that fails is logged and left out."""
+    """Run each entry to its one-row result. One whose settings are refused has a row of nulls; any other failure ends the run."""
     rows = []
     for name, run in results.items():
         try:
             rows.append((name, *run().first()))
-        except Exception as error:  # noqa: BLE001
-            log.warning("%s failed: %s", name, str(error)[:200])
+        except (ValueError, IllegalArgumentException) as error:
+            log.warning("%s was refused: %s", name, str(error)[:200])
+            rows.append((name, *[None] * len(schema.split(","))))
     return spark.createDataFrame(rows, f"model_name string, {schema}")
 
 

@@ -20,9 +20,13 @@ def regression_columns(target: str = "label", prediction: str = "prediction") ->
 
 
 def mape(target: str = "label", prediction: str = "prediction", guard: float = 0.0) -> Column:
-    """Mean absolute percentage error; ``guard`` is added to the target before dividing."""
+    """Mean absolute percentage error; ``guard`` is added to the target before dividing.
+
+    Null if a target is zero after that: no row leaves the mean unnoticed.
+    """
     y, p = F.col(target), F.col(prediction)
-    return F.avg(F.abs(F.try_divide(y - p, y + F.lit(guard)))) * 100
+    error = F.avg(F.abs(F.try_divide(y - p, y + F.lit(guard)))) * 100
+    return F.when(F.count_if(y + F.lit(guard) == 0) == 0, error)
 
 
 def regression_metrics(scored: DataFrame, by: Sequence[str] = ("split",), target: str = "label",

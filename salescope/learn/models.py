@@ -115,8 +115,9 @@ def label_size(data: DataFrame) -> tuple[int, float]:
     return n, std or 1.0
 
 
-def classifier(name: str, classes: int = 2, width: int = 1, trees: int = 100, depth: int = 10):
-    """Spark ML classifier for a model name."""
+def classifier(name: str, classes: int = 2, width: int = 1, trees: int = 100, depth: int | None = None):
+    """Spark ML classifier for a model name; trees are 10 deep by default, boosted ones 5."""
+    depth = depth if depth is not None else 5 if name == "BoostedTrees" else 10
     common = {"featuresCol": "features", "labelCol": "label"}
     if name == "LogisticRegression":
         return LogisticRegression(**common, maxIter=1000)
@@ -127,7 +128,7 @@ def classifier(name: str, classes: int = 2, width: int = 1, trees: int = 100, de
     if name == "RandomForest":
         return RandomForestClassifier(**common, numTrees=trees, maxDepth=depth, seed=SEED)
     if name == "BoostedTrees":
-        boosted = GBTClassifier(**common, maxIter=trees, maxDepth=min(depth, 5), seed=SEED)
+        boosted = GBTClassifier(**common, maxIter=trees, maxDepth=depth, seed=SEED)
         return boosted if classes == 2 else OneVsRest(classifier=boosted, **common)
     if name == "NeuralNetwork":
         return MultilayerPerceptronClassifier(**common, layers=[width, 50, classes], maxIter=200, seed=SEED)

@@ -246,5 +246,5 @@ def cluster_bundles(products: DataFrame, labels: DataFrame, item: str = "item_na
     take = F.least(F.size("members"), F.lit(3))
     return totals.where(F.col("items") >= 2).join(first, "cluster").select(
         "cluster", tier.alias("bundle_type"), "members", F.round("price", 2).alias("avg_price"), "popularity",
-        F.format_string("Bundle %d items from this group for variety", take).alias("recommendation"),
+        F.format_string("Offer %d of its items together", take).alias("recommendation"),
     )

@@ -248,7 +248,7 @@ def cluster_bundles(spark, d):
         SELECT cluster, CASE WHEN price < 12 THEN 'Budget Friendly' WHEN price < 16 THEN 'Popular Favorites' WHEN price < 20 THEN 'Premium Selection'
           ELSE 'Gourmet Collection' END AS bundle_type,
           (SELECT string_agg(item_name, ',' ORDER BY item_name) FROM (SELECT item_name FROM t WHERE t.cluster = g.cluster ORDER BY 1 LIMIT 5)) AS members,
-          round(price, 2) AS avg_price, popularity, 'Bundle ' || least(items, 3) || ' items from this group for variety' AS recommendation
+          round(price, 2) AS avg_price, popularity, 'Offer ' || least(items, 3) || ' of its items together' AS recommendation
         FROM g WHERE items >= 2"""),
 )
 def category_bundles(spark, d):

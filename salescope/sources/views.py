@@ -29,7 +29,7 @@ LINE = {
     "line_no": lambda: F.col("l_linenumber"),
     "quantity": lambda: F.col("l_quantity"),
     "total_price": lambda: F.col("l_extendedprice"),
-    "unit_price": lambda: F.col("l_extendedprice") / F.col("l_quantity"),
+    "unit_price": lambda: F.try_divide("l_extendedprice", "l_quantity"),
     "order_time": _clock,
 }
 ORDER = {
@@ -70,7 +70,7 @@ def item_sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
             F.sum("l_quantity").alias("quantity"),
             F.sum("l_extendedprice").alias("total_price"),
             F.count(F.lit(1)).alias("lines"),
-            F.sum(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price_sum"),
+            F.sum(F.try_divide("l_extendedprice", "l_quantity")).alias("unit_price_sum"),
         )
     )
     joined = per_item.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))

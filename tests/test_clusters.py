@@ -128,7 +128,7 @@ def test_bundles_need_two_items(spark):
     labels = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "item_name string, cluster int")
     got = clusters.cluster_bundles(products, labels).collect()
     assert len(got) == 1 and got[0]["bundle_type"] == "Budget Friendly" and got[0]["popularity"] == 4
-    assert got[0]["recommendation"] == "Bundle 2 items from this group for variety"
+    assert got[0]["recommendation"] == "Offer 2 of its items together"
 
 
 @pytest.mark.parametrize("p, weights, tile", [(2, "uniform", 4096), (1, "distance", 16)])
