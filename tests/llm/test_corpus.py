@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from salescope.llm import columnwise, components, katz, language, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
+from salescope.llm.ragged import mix
 from salescope.session import scratch_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, block string, base string, key string, bucket int, part int"
@@ -124,6 +125,23 @@ def simhash_of(text, n):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def wide_simhash_of(text, n, words):
+    """Bits of each word by brute force, in the order of its bytes, highest bit of a byte first."""
+    w = (text or "").encode().lower().split()
+    h = np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + n]), 42) for i in range(max(1, len(w) - n + 1))], np.uint64)
+    out = []
+    for j in range(words):
+        values = [int(x) for x in (mix(h + np.uint64(j)) if j else h)]
+        bits = [2 * sum(x >> b & 1 for x in values) > len(values) for b in range(64)]
+        out += [bits[8 * byte + 7 - b] for byte in range(8) for b in range(8)]
+    return out
+
+
+def agree_widely(a, b):
+    same = [x == y for x, y in zip(a, b)]
+    return any(all(same[i : i + 12]) for i in range(0, len(same) - 11, 12)) and sum(same) >= 0.8 * len(same)
+
+
 def least_reachable(n, linked):
     label = list(range(n))
     changed = True
@@ -154,6 +172,30 @@ def test_simhash_splits_crowded_buckets(spark, monkeypatch):
     assert [roots.get(m, m) for m in marks] == [marks[i] for i in label]
 
 
+def test_simhash_bands_link_copies_of_lower_similarity(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 8)
+    rng = random.Random(9)
+    bodies = [None, "", "one two"]
+    for _ in range(6):
+        words = [f"w{rng.randrange(500)}" for _ in range(120)]
+        for _ in range(12):
+            copy = list(words)
+            for _ in range(rng.randint(0, 6)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(500)}"
+            bodies.append(" ".join(copy))
+    rows = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(bodies)], "doc_id long, text string, wide string, bucket int")
+    marks, wide = [simhash_of(t, 5) for t in bodies], [wide_simhash_of(t, 5, 5) if t else [False] * 320 for t in bodies]
+    links = [(a, b) for a in range(len(bodies)) for b in range(a) if (marks[a] ^ marks[b]).bit_count() <= 6 or agree_widely(wide[a], wide[b])]
+    label = least_reachable(len(bodies), links)
+    got = by_id(simhash.near_duplicates(rows, 5, 6, 8, 5, 0.8))
+    assert {i: r["component_id"] for i, r in got.items()} == dict(enumerate(label))
+    assert len(links) > sum((marks[a] ^ marks[b]).bit_count() <= 6 for a in range(len(bodies)) for b in range(a))
+    shingles = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} if t else set() for t in bodies]
+    close = [(a, b) for a in range(3, len(bodies)) for b in range(3, a) if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])]
+    assert len(close) > 50 and all(label[a] == label[b] for a, b in close)
+    assert simhash.near_duplicates(rows.limit(0), 5, 6, 8, 5, 0.8).count() == 0
+
+
 def test_language(spark):
     rng = random.Random(2)
     words = {"en": ["the", "house", "white", "through"], "de": ["straße", "und", "größe", "nicht"], "fr": ["où", "maison", "garçon", "très"]}
@@ -307,7 +349,9 @@ def test_pipeline_stages(spark, docs, tmp_path):
     one = {r["doc_id"] for r in stages["near_copies"](spark, kept, str(tmp_path)).collect()}
     marks = {r["doc_id"]: simhash_of(r["text"], 5) for r in kept.collect()}
     ids = sorted(marks)
-    label = least_reachable(len(ids), [(a, b) for a in range(len(ids)) for b in range(a) if (marks[ids[a]] ^ marks[ids[b]]).bit_count() <= 6])
+    wide = {r["doc_id"]: wide_simhash_of(r["text"], 5, 5) for r in kept.collect()}
+    label = least_reachable(len(ids), [(a, b) for a in range(len(ids)) for b in range(a)
+                                       if (marks[ids[a]] ^ marks[ids[b]]).bit_count() <= 6 or agree_widely(wide[ids[a]], wide[ids[b]])])
     assert one == {ids[i] for i, x in enumerate(label) if x == i} and 11 not in one
     assert {r["doc_id"] for r in stages["benchmark"](spark, extra, str(tmp_path)).collect()} == set(range(19)) - {6}
     assert stages["packing"](spark, kept.limit(0), str(tmp_path)).count() == 0
