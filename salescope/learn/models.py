@@ -75,21 +75,17 @@ def impute_exact(df: DataFrame, numeric: Sequence[str], one_hot: Sequence[str] =
     return out.fillna(0, subset=list(one_hot)) if one_hot else out
 
 
-# normal equations take one pass over the rows; Spark solves them for up to this many features
-NORMAL_EQUATION_FEATURES = 4096
-
-
-def regressor(name: str, rows: int = 1, label_std: float = 1.0, width: int = 1, **p):
+def regressor(name: str, rows: int = 1, label_std: float = 1.0, **p):
     """Spark ML estimator for a model name and its parameters.
 
     Penalties follow the usual definitions on the unscaled label: ridge adds alpha |w|^2 to the summed
     loss, lasso and elastic net add alpha (l1 |w| + (1 - l1) |w|^2 / 2) to half the mean loss. Spark
     averages the loss and applies the squared penalty to a label of unit deviation, hence ``rows`` and
-    ``label_std``.
+    ``label_std``. Spark picks the solver by the real width of the features: normal equations (one pass) as far as
+    it can hold them, l-bfgs beyond.
     """
     common = {"featuresCol": "features", "labelCol": "label"}
-    solver = "normal" if width <= NORMAL_EQUATION_FEATURES else "l-bfgs"
-    linear = {**common, "standardization": False, "fitIntercept": p.get("fit_intercept", True), "solver": solver,
+    linear = {**common, "standardization": False, "fitIntercept": p.get("fit_intercept", True), "solver": "auto",
               "maxIter": p.get("max_iter", 1000), "tol": 1e-10}
     if name == "LinearRegression":
         # without a penalty scaling changes no coefficient, and it settles collinear columns

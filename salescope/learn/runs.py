@@ -149,10 +149,10 @@ def typed_parameters(params: Column) -> Column:
 
 
 def comparison(results: DataFrame, by: str, ascending: bool = True, digits: int = 2) -> DataFrame:
-    """Model comparison rounded for reading and ranked by one metric."""
+    """Model comparison rounded for reading and ranked by one metric; models without one come last."""
     numeric = [c for c, t in results.dtypes if t == "double"]
     rounded = results.withColumns({c: F.round(c, digits) for c in numeric})
-    order = F.col(by).asc() if ascending else F.col(by).desc()
+    order = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
     return rounded.orderBy(order, "model_name")
 
 

@@ -63,7 +63,7 @@ def _named(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of (u, v) edges: each node with the smallest node it reaches.
 
     Alternating star contraction; the number of rounds grows with the logarithm of the graph.
@@ -75,7 +75,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     )
     print_of = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = print_of(links)
-    for _ in range(max_rounds):
+    while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         roots = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(roots, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -89,7 +89,6 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         if now == seen:
             return links.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
         seen = now
-    raise RuntimeError("components did not settle")
 
 
 def _cell_links(core: DataFrame, near: DataFrame, eps: float, side: float, d: int, metric: str) -> DataFrame:

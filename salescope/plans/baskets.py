@@ -56,8 +56,7 @@ def joined(df, *columns):
     sql(PAIRS, "b AS (SELECT order_id, count(*) AS items FROM pairs GROUP BY 1)", select="SELECT items, count(*) AS orders FROM b GROUP BY 1"),
 )
 def basket_sizes(spark, d):
-    per_basket = baskets.baskets(pairs(spark, d))
-    return per_basket.groupBy(F.size("items").cast("long").alias("items")).agg(F.sum("weight").alias("orders"))
+    return baskets.basket_sizes(pairs(spark, d))
 
 
 SETS_SELECT = f"SELECT array_to_string(items, ',') AS items, freq, {R('support', 8)} AS support FROM sets"
@@ -108,31 +107,37 @@ def rule_summary(spark, d):
     return rounded(baskets.rule_summary(baskets.rules(mined(spark, d), "lift", 0.5)), 8)
 
 
+GRID_SUPPORTS, GRID_THRESHOLDS = (0.005, 0.01), (0.3, 0.5)
+
+
 def grid_sql() -> str:
+    """Rules of the lower support hold those of the higher one."""
     parts = []
     for algorithm in ("Apriori", "FP-Growth"):
-        for metric in ("lift", "confidence"):
-            for threshold in (0.1, 1.0):
-                parts.append(
-                    f"SELECT '{algorithm}' AS algorithm, {SUPPORT}::DOUBLE AS min_support, '{metric}' AS metric, {threshold}::DOUBLE AS min_threshold, "
-                    f"count(*) AS association_rules, {R('coalesce(avg(lift), 0)', 8)} AS avg_lift, {R('coalesce(avg(confidence), 0)', 8)} AS avg_confidence, "
-                    f"{R('coalesce(avg(leverage), 0)', 8)} AS avg_leverage FROM rules WHERE {metric} >= {threshold}"
-                )
+        for support in GRID_SUPPORTS:
+            for metric in ("lift", "confidence"):
+                for threshold in GRID_THRESHOLDS:
+                    parts.append(
+                        f"SELECT '{algorithm}' AS algorithm, {support}::DOUBLE AS min_support, '{metric}' AS metric, {threshold}::DOUBLE AS min_threshold, "
+                        f"count(*) AS association_rules, {R('coalesce(avg(lift), 0)', 8)} AS avg_lift, {R('coalesce(avg(confidence), 0)', 8)} AS avg_confidence, "
+                        f"{R('coalesce(avg(leverage), 0)', 8)} AS avg_leverage FROM rules, total "
+                        f"WHERE {metric} >= {threshold} AND round(support * orders) >= orders * {support}::DOUBLE"
+                    )
     return " UNION ALL ".join(parts)
 
 
 def grid(spark, d):
-    return baskets.rule_grid(pairs(spark, d), supports=(SUPPORT,), thresholds=(0.1, 1.0))
+    return baskets.rule_grid(pairs(spark, d), GRID_SUPPORTS, thresholds=GRID_THRESHOLDS)
 
 
-@query("rule_grid", sql(PAIRS, itemsets_sql(SUPPORT), RULES, select=grid_sql()))
+@query("rule_grid", sql(PAIRS, itemsets_sql(min(GRID_SUPPORTS)), RULES, select=grid_sql()))
 def rule_grid(spark, d):
     return rounded(grid(spark, d), 8)
 
 
 @query(
     "rule_champion",
-    sql(PAIRS, itemsets_sql(SUPPORT), RULES, f"grid AS ({grid_sql()})", select="""
+    sql(PAIRS, itemsets_sql(min(GRID_SUPPORTS)), RULES, f"grid AS ({grid_sql()})", select="""
         SELECT * FROM grid WHERE association_rules > 0
         ORDER BY avg_lift DESC, association_rules DESC, algorithm, min_support, metric, min_threshold LIMIT 1"""),
 )

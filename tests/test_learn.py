@@ -135,13 +135,15 @@ def test_split_record(line, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).where("split = 'val'").count() == 50
 
 
-def test_comparisons_rank_and_skip_failures(line):
+def test_comparisons_rank_and_show_refused_settings(line):
     from salescope.learn import compare
 
     data = line.drop("features").withColumn("split", F.when(F.col("split") == "test", "test").otherwise("train"))
     chosen = {"Linear Regression": ("LinearRegression", {}), "Broken": ("Nothing", {}), "KNN Regression": ("KNN", {"n_neighbors": 3})}
-    got = [r["model_name"] for r in compare.compare_forecasters(data, ["a", "b"], "key", ["key"], 7, chosen).collect()]
-    assert got[:2] == ["Linear Regression", "KNN Regression"] and set(got[2:]) == {"Naive Baseline", "Moving Average"}
+    rows = compare.compare_forecasters(data, ["a", "b"], "key", ["key"], 7, chosen).collect()
+    got = [r["model_name"] for r in rows]
+    assert got[:2] == ["Linear Regression", "KNN Regression"] and set(got[2:4]) == {"Naive Baseline", "Moving Average"}
+    assert got[4:] == ["Broken"] and rows[4]["rmse"] is None
     labelled = data.withColumn("label", (F.col("label") > 5).cast("double"))
     best = compare.compare_classifiers(labelled, ["a", "b"], "key", chosen={"Logistic Regression": "LogisticRegression", "KNN": "KNN"}).collect()
     assert len(best) == 2 and best[0]["f1"] >= best[1]["f1"] > 0.9
