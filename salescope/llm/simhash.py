@@ -14,7 +14,7 @@ component of what it found.
 (the first 64 are the fingerprint above) that agree in a whole band of ``BAND`` bits meet, and link if ``agreement`` of all their bits
 agree. At 320 bits there are 26 bands, and a pair whose shingles have a similarity of 0.8 shares none of them in about 2 of 100 cases.
 Rows of one band are cut into chunks of at most about ``CHUNK`` rows, and each two chunks are compared on their own, so memory is bounded;
-the work in a band's bucket grows with its square.
+the work in a band's bucket grows with its square, but a crowd of near copies passes on about one link for each of its rows.
 
 Null, empty and blank texts have fingerprint zero and are linked like any other. Equal rows share a fingerprint. Null ids: a row is
 kept, and a group without any id has a null component. No rows give no rows; other columns are not read.
@@ -141,6 +141,23 @@ def near_links(fps: DataFrame, radius: int, blocks: int = BLOCKS) -> DataFrame:
     return dealt.groupBy("task").applyInPandas(compare, "a long, b long")
 
 
+def _spanning(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what the table connects (rows first, then columns are numbered): in a crowded table at most one each."""
+    high, wide = near.shape
+    if np.count_nonzero(near) <= high + wide:
+        x, y = np.nonzero(near)
+        return x, y + high
+    label = np.arange(high, dtype=np.int16)
+    while True:
+        column = np.where(near, label[:, None], np.int16(high)).min(0)
+        new = np.minimum(label, np.where(near, column[None, :], np.int16(high)).min(1))
+        if (new == label).all():
+            break
+        label = new
+    held = np.flatnonzero(column < high)
+    return np.concatenate([np.arange(high), held + high]), np.concatenate([label, column[held]]).astype(np.int64)
+
+
 def band_links(wides: DataFrame, words: int, agreement: float) -> DataFrame:
     """Links ``a, b`` (first 64 bits) that connect all of column ``wide`` that share a band and agree in that share of their bits."""
     bands, limit = 64 * words // BAND, int(64 * words * (1 - agreement) + 1e-9)
@@ -174,14 +191,18 @@ def band_links(wides: DataFrame, words: int, agreement: float) -> DataFrame:
         for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(table)]):
             within = tile[begin, 1] == tile[begin, 2]
             middle = end if within else begin + int((~later[begin:end]).sum())
-            right = table[begin:end] if within else table[middle:end]
             for at in range(begin, middle, 256):
-                left = table[at : min(at + 256, middle)]
-                gap = sum(np.bitwise_count(left[:, None, j] ^ right[None, :, j]).astype(np.int16) for j in range(words))
-                x, y = np.nonzero(gap <= limit)
-                node, root = forest(left[x, 0].view(np.int64), right[y, 0].view(np.int64))
-                a.append(node)
-                b.append(root)
+                left, right = table[at : min(at + 256, middle)], table[at if within else middle : end]
+                gap = np.zeros((len(left), len(right)), np.int16)
+                for j in range(words):
+                    gap += np.bitwise_count(left[:, None, j] ^ right[None, :, j])
+                near = gap <= limit
+                if within:
+                    np.fill_diagonal(near, False)
+                x, y = _spanning(near)
+                rows = np.concatenate([left[:, 0], right[:, 0]]).view(np.int64)
+                a.append(rows[x])
+                b.append(rows[y])
         node, root = forest(np.concatenate(a), np.concatenate(b))
         return pd.DataFrame({"a": node, "b": root})
 
