@@ -25,7 +25,7 @@ from salescope.llm.ragged import mix
 
 FEATURES = 1 << 16
 LARGEST_SET, STEPS = 3, 12
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 16
 
 
 def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,34 +105,34 @@ def mixtures(counts: np.ndarray, text: np.ndarray, logp: np.ndarray, n_texts: in
     at = begins[some]
     row = np.searchsorted(some, text)
     total = np.add.reduceat(counts, at)
-    top = logp.max(1, keepdims=True)
+    logp = np.ascontiguousarray(logp.T)  # a row for each language
+    top = logp.max(0)
     p = np.exp(logp - top)
-    weighted = counts[:, None]
-    base = np.add.reduceat(counts * top[:, 0], at)
+    base = np.add.reduceat(counts * top, at)
 
     def fit(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """EM from ``share``; a share of 0 stays 0."""
         for _ in range(STEPS):
-            part = p * share[row]
-            part *= weighted / np.maximum(part.sum(1, keepdims=True), 1e-30)
-            share = np.add.reduceat(part, at) / total[:, None]
-        fitted = np.log(np.maximum((p * share[row]).sum(1), 1e-30))
+            part = p * share[:, row]
+            part *= counts / np.maximum(part.sum(0), 1e-30)
+            share = np.add.reduceat(part, at, axis=1) / total
+        fitted = np.log(np.maximum((p * share[:, row]).sum(0), 1e-30))
         return share, base + np.add.reduceat(counts * fitted, at)
 
-    alone = np.add.reduceat(weighted * logp, at)
-    best = np.eye(k)[alone.argmax(1)]
-    score = alone.max(1) - 0.5 * np.log(total)
+    alone = np.add.reduceat(counts * logp, at, axis=1)
+    best = np.eye(k)[:, alone.argmax(0)]
+    score = alone.max(0) - 0.5 * np.log(total)
     if k > 1:
-        full, _ = fit(np.full((len(some), k), 1 / k))
-        rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
+        full, _ = fit(np.full((k, len(some)), 1 / k))
+        rank = np.argsort(np.argsort(-full, axis=0, kind="stable"), axis=0)
         for size in range(2, min(k, LARGEST_SET) + 1):
             allowed = np.where(rank < size, np.maximum(full, 1e-3), 0)
-            share, likelihood = fit(allowed / allowed.sum(1, keepdims=True))
+            share, likelihood = fit(allowed / allowed.sum(0))
             likelihood = likelihood - 0.5 * size * np.log(total)
             better = likelihood > score
-            best[better], score[better] = share[better], likelihood[better]
+            best[:, better], score[better] = share[:, better], likelihood[better]
     lang, share = np.full(n_texts, -1), np.zeros(n_texts)
-    lang[some], share[some] = best.argmax(1), best.max(1)
+    lang[some], share[some] = best.argmax(0), best.max(0)
     return lang, np.clip(share, 0, 1)
 
 
