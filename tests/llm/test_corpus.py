@@ -196,6 +196,44 @@ def test_simhash_bands_link_copies_of_lower_similarity(spark, monkeypatch):
     assert simhash.near_duplicates(rows.limit(0), 5, 6, 8, 5, 0.8).count() == 0
 
 
+def shingle_set(text, n):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def alike(a, b):
+    return a == b or len(a & b) >= 0.8 * len(a | b) > 0
+
+
+def test_near_copies_are_verified_on_their_shingles(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(simhash, "CHUNK", 8)
+    rng = random.Random(4)
+    bodies = [None, "", " ", "one two", "One two", "one two three", "go " * 9000]
+    for changed in (0, 2, 4, 5, 6, 8, 10, 14):  # similarity from 1 down to 0.5 around a common template
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        for _ in range(12):
+            copy = list(words)
+            for i in range(changed):
+                copy[(i * 200 // max(changed, 1) + rng.randrange(3)) % 200] = f"x{rng.randrange(10**9)}"
+            bodies.append(" ".join(copy))
+    bodies += ["go " * 500 + bodies[-1], "go " * 500 + bodies[10]]  # a repeated shingle is one
+    sets = [shingle_set(t, 5) for t in bodies]
+    close = [(a, b) for a in range(len(sets)) for b in range(a) if alike(sets[a], sets[b])]
+    label = least_reachable(len(bodies), close)
+    rows = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(bodies)], "doc_id long, text string, wide string, node int")
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, rows, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, x in enumerate(label) if x == i]
+    assert len(set(label)) > 40 and kept.columns == rows.columns  # of 84 near copies, most are below 0.8
+
+
+def test_similar_sets_connect():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 12, rng.integers(0, 12)).astype(np.uint64)) for _ in range(60)]
+    plain = [set(s.tolist()) for s in sets]
+    want = least_reachable(60, [(a, b) for a in range(60) for b in range(a) if alike(plain[a], plain[b])])
+    assert simhash.similar(sets, 0.8).tolist() == want
+
+
 def test_language(spark):
     rng = random.Random(2)
     words = {"en": ["the", "house", "white", "through"], "de": ["straße", "und", "größe", "nicht"], "fr": ["où", "maison", "garçon", "très"]}
