@@ -7,7 +7,12 @@ stretches need one round for each of their columns.) A bucket of stretches is a
 each is inserted in every round, from the right to the left. The round's symbols, read in the order so far, are a column of the
 collection's Burrows-Wheeler transform; a stable sort by them is the new order, and the common prefix of neighbours is one more than
 the least common prefix between their old places. Strings are equal where the common prefix reaches ``length``. Equality is decided by
-the bytes alone.
+the bytes, but for hot anchors and inside a block.
+
+An anchor that stands in ever different surroundings would make its bucket grow with the input. Blocks send how many stretches they
+have of each anchor; one with more than ``HOT`` in all, or ``MOST`` in a block, is hot. Its strings go out one by one instead, each
+distinct one once for a block, to a bucket of the string's own hashes, so that they spread and equal ones still meet; there, as
+inside a block, two 64-bit hashes stand for the bytes.
 
 Stretches go to a bucket once for each block and content, so copies of a document or passage meet once for each block that holds
 them. Null and empty texts have no bytes; texts shorter than ``length`` lose none. Rows with equal ids are put in the order of the
@@ -31,6 +36,7 @@ from salescope.llm.scans import cut, for_part, kept_by_part
 GRAM = 32
 BLOCK_CHARS = 6 << 20
 BUCKET_BYTES = 12 << 20
+HOT, MOST = 8192, 255
 ABSENT = 0xFF  # never a byte of UTF-8
 
 
@@ -101,6 +107,27 @@ class Stretches:
         out[order[first]] = True
         return out
 
+    def first_strings(self, which: np.ndarray, rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, start, whether it is the earliest of its content here, and two hashes of each string of those stretches."""
+        many = self.many[which]
+        row = np.repeat(self.row[which], many)
+        start = np.repeat(self.start[which] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        order = np.lexsort((start, rank[row]))
+        row, start = row[order], start[order]
+        key, by_place = np.empty((len(start), 2), np.uint64), np.argsort(start)
+        ordered, at = start[by_place], 0
+        while at < len(start):
+            to = max(at + 1, int(np.searchsorted(ordered, ordered[at] + (1 << 21))))
+            own, low = ordered[at:to] - ordered[at], ordered[at]
+            values = BYTE_VALUES[self.raw[low : ordered[to - 1] + length]]
+            for column, base in enumerate((BASE_A, BASE_B)):
+                key[by_place[at:to], column] = mix(stretch_hashes(values, own, own + length, base))
+            at = to
+        _, first = np.unique(key.view([("", np.uint64)] * 2).ravel(), return_index=True)
+        new = np.zeros(len(start), bool)
+        new[first] = True
+        return row, start, new, key
+
     def _contents(self, base: np.uint64, ends: np.ndarray) -> np.ndarray:
         out, at = np.empty(len(ends), np.uint64), 0
         while at < len(ends):
@@ -155,51 +182,83 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
             yield part, block, rows, rank, Stretches(rows, length)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, block, rows, _, found in blocks(batches):
-            yield pd.DataFrame([(part, block, len(rows), bucket, len(own), found.hash[own].tobytes()) for bucket, own in found.sent(key_buckets).parts],
-                               columns=["part", "block", "n_rows", "bucket", "n", "keys"])
+        for part, block, rows, rank, found in blocks(batches):
+            sent = found.sent(key_buckets)
+            first = found.first_copies(rank, length)[sent.order]
+            many = np.minimum(np.add.reduceat(first, sent.places, dtype=np.int64), MOST) if len(sent.places) else np.zeros(0)
+            cuts = np.cumsum([len(own) for _, own in sent.parts])[:-1]
+            yield pd.DataFrame([(part, block, len(rows), bucket, len(own), found.hash[own].tobytes(), m.tobytes())
+                                for (bucket, own), m in zip(sent.parts, np.split(many.astype(np.uint8), cuts))],
+                               columns=["part", "block", "n_rows", "bucket", "n", "keys", "many"])
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
         _, place, count = np.unique(keys, return_inverse=True, return_counts=True)
         out = frame[["part", "block", "n_rows", "bucket", "n"]].copy()
-        out["bits"] = [np.packbits(x).tobytes() for x in np.split(count[place] > 1, np.cumsum(frame["n"].to_numpy())[:-1])]
+        many = np.concatenate([np.frombuffer(m, np.uint8) for m in frame["many"]])
+        most = np.zeros(len(count), np.uint8)
+        np.maximum.at(most, place, many)
+        hot = (np.bincount(place, many) > HOT) | (most >= MOST)
+        cuts = np.cumsum(frame["n"].to_numpy())[:-1]
+        out["bits"] = [np.packbits(x).tobytes() for x in np.split(count[place] > 1, cuts)]
+        out["hot"] = [np.packbits(x).tobytes() for x in np.split(hot[place], cuts)]
         return out
 
     layout = "part int, block int, n_rows long, bucket int, n int"
-    shared = docs.mapInPandas(send, f"{layout}, keys binary").groupBy("bucket").applyInPandas(merge, f"{layout}, bits binary")
+    shared = docs.mapInPandas(send, f"{layout}, keys binary, many binary").groupBy("bucket").applyInPandas(merge, f"{layout}, bits binary, hot binary")
     folder = kept_by_part(shared, "anchors")
 
+    def answers(waiting: pd.DataFrame, block: int, rows: pd.DataFrame, found: Stretches) -> tuple[np.ndarray, np.ndarray]:
+        """For each stretch, whether its anchor occurs again and whether it is hot."""
+        own = waiting[waiting["block"] == block].sort_values("bucket")
+        sent = found.sent(key_buckets)
+        if not (own["n_rows"] == len(rows)).all() or own["n"].sum() != len(sent.places):
+            raise RuntimeError("the scan's partitions have changed between passes")
+        if not len(own):
+            return np.zeros(0, bool), np.zeros(0, bool)
+        bits, hot = (np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(own[c], own["n"])]).astype(bool) for c in ("bits", "hot"))
+        return sent.spread(bits | (sent.counts() > 1)), sent.spread(hot)
+
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting = None
+        names = ["part", "block", "bucket", "n", "ids", "rows", "starts", "many", "left", "bytes"]
         for part, block, rows, rank, found in blocks(batches):
             if waiting is None:
-                waiting = for_part(folder, part, ["block", "n_rows", "bucket", "n", "bits"])
-            own = waiting[waiting["block"] == block].sort_values("bucket")
-            sent = found.sent(key_buckets)
-            if not (own["n_rows"] == len(rows)).all() or own["n"].sum() != len(sent.places):
-                raise RuntimeError("the scan's partitions have changed between passes")
-            if not len(own):
+                waiting = for_part(folder, part, ["block", "n_rows", "bucket", "n", "bits", "hot"])
+            again, hot = answers(waiting, block, rows, found)
+            ids = rows["doc_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
+            again &= found.first_copies(rank, length)
+            row, start, new, key = found.first_strings(np.flatnonzero(again & hot), rank, length)
+            row, start, key = row[new], start[new], key[new]
+            bucket = ((key[:, 1] >> np.uint64(40)) & np.uint64(4 * buckets - 1)).astype(np.int64) + buckets  # after those of stretches
+            order = np.argsort(bucket, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
+                yield pd.DataFrame([(part, block, int(bucket[own[0]]), len(own), ids[row[own]].tobytes(), row[own].tobytes(),
+                                     (start[own] - found.begin[row[own]]).tobytes(), None, None, key[own].tobytes())], columns=names)
+            go = np.flatnonzero(again & ~hot)
+            if not len(go):
                 continue
-            bits = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(own["bits"], own["n"])]).astype(bool)
-            go = np.flatnonzero(sent.spread(bits | (sent.counts() > 1)) & found.first_copies(rank, length))
             bucket = (found.hash[go] >> np.uint64(40)) & np.uint64(buckets - 1)
             go = go[np.argsort(bucket, kind="stable")]
             bucket = (found.hash[go] >> np.uint64(40)) & np.uint64(buckets - 1)
-            ids = rows["doc_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-            for own in np.split(go, np.flatnonzero(np.diff(bucket)) + 1) if len(go) else ():
+            for own in np.split(go, np.flatnonzero(np.diff(bucket)) + 1):
                 size = found.many[own] + length - 1
                 flat = np.repeat(found.start[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 yield pd.DataFrame([(part, block, int((found.hash[own[0]] >> np.uint64(40)) & np.uint64(buckets - 1)), len(own),
                                      ids[found.row[own]].tobytes(), found.row[own].tobytes(), (found.start[own] - found.begin[found.row[own]]).tobytes(),
                                      found.many[own].astype(np.uint8).tobytes(), (found.anchor - found.start)[own].astype(np.uint8).tobytes(),
                                      found.raw[flat].tobytes())],
-                                   columns=["part", "block", "bucket", "n", "ids", "rows", "starts", "many", "left", "bytes"])
+                                   columns=names)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         ids, rows, starts = (np.concatenate([np.frombuffer(b, np.int64) for b in frame[c]]) for c in ("ids", "rows", "starts"))
-        many, left = (np.concatenate([np.frombuffer(b, np.uint8) for b in frame[c]]).astype(np.int64) for c in ("many", "left"))
         part, block = (np.repeat(frame[c].to_numpy(), frame["n"]) for c in ("part", "block"))
+        if frame["bucket"].iloc[0] >= buckets:  # strings of hot anchors
+            key = np.frombuffer(b"".join(frame["bytes"]), np.uint64).reshape(-1, 2)
+            order = np.lexsort((starts, rows, block, part, ids, key[:, 1], key[:, 0]))
+            of = order[1:][(key[order[1:]] == key[order[:-1]]).all(1)]
+            return pd.DataFrame({"part": part[of], "block": block[of], "row": rows[of], "low": starts[of], "high": starts[of] + length})
+        many, left = (np.concatenate([np.frombuffer(b, np.uint8) for b in frame[c]]).astype(np.int64) for c in ("many", "left"))
         raw = np.frombuffer(b"".join(frame["bytes"]), np.uint8)
         size = many + length - 1
         begin = np.cumsum(size) - size
@@ -224,15 +283,18 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
     later = kept_by_part(spans, "repeats")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting = None
+        waiting = asked = None
         for part, block, rows, rank, found in blocks(batches):
             if waiting is None:
                 waiting = for_part(later, part, ["block", "row", "low", "high"])
+                asked = for_part(folder, part, ["block", "n_rows", "bucket", "n", "bits", "hot"])
+            again, hot = answers(asked, block, rows, found)
             own = waiting[waiting["block"] == block]
             copy = ~found.first_copies(rank, length)
+            _, start, new, _ = found.first_strings(np.flatnonzero(again & hot & ~copy), rank, length)
             begin = found.begin[own["row"].to_numpy(np.int64)]
-            low = np.concatenate([found.start[copy], begin + own["low"].to_numpy(np.int64)])
-            high = np.concatenate([(found.start + found.many + length - 1)[copy], begin + own["high"].to_numpy(np.int64)])
+            low = np.concatenate([found.start[copy], start[~new], begin + own["low"].to_numpy(np.int64)])
+            high = np.concatenate([(found.start + found.many + length - 1)[copy], start[~new] + length, begin + own["high"].to_numpy(np.int64)])
             steps = np.bincount(low, minlength=len(found.raw) + 1) - np.bincount(high, minlength=len(found.raw) + 1)
             gone = np.cumsum(steps) > 0
             out = []

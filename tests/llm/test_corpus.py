@@ -346,6 +346,34 @@ def test_columnwise(spark, stable):
     assert columnwise.removed_bytes(empty(spark), 100).count() == 0
 
 
+def test_columnwise_spreads_a_hot_phrase(spark, monkeypatch):
+    rng, real = random.Random(8), columnwise.repeats
+
+    def repeats(table, length, columns):
+        if len(table) > 20:
+            raise AssertionError(f"{len(table)} stretches in one table")
+        return real(table, length, columns)
+
+    monkeypatch.setattr(columnwise, "HOT", 10)
+    monkeypatch.setattr(columnwise, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(columnwise, "repeats", repeats)
+    word = lambda n: "".join(rng.choice("abcdefgh ü") for _ in range(n))
+    hot, tails = word(60), [word(80) for _ in range(3)]
+    bodies = [word(150) + hot + (rng.choice(tails) if i % 2 else "") + word(100) for i in range(90)]
+    path = scratch_path(spark, "hot")
+    spark.createDataFrame([(i, t) for i, t in enumerate(bodies)], "doc_id long, text string").repartition(3, "doc_id").write.parquet(path)
+    got, seen = by_id(columnwise.removed_bytes(spark.read.parquet(path), 100)), set()
+    for i, text in enumerate(bodies):
+        raw = text.encode()
+        gone = np.zeros(len(raw), bool)
+        for at in range(len(raw) - 99):
+            gone[at : at + 100] |= raw[at : at + 100] in seen
+            seen.add(raw[at : at + 100])
+        kept = bytes(np.frombuffer(raw, np.uint8)[~gone])
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (gone.sum(), hashlib.sha256(kept).hexdigest()), i
+    assert sum(r["n_removed"] > 0 for r in got.values()) > 20
+
+
 def test_personal_data(spark, docs):
     got = by_id(pii.find_personal_data(docs))
     text = texts()[16]
