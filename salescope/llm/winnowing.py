@@ -5,7 +5,8 @@ A text's fingerprints are the least hash of ``gram`` words in each run of ``wind
 extended word by word, at most to the window's length on either side, and compared as words, so that hashes decide nothing. Items
 of fewer words than a window have no run to choose from; each is one gram of its own length and is looked for at every place.
 
-Texts are matched by content: equal texts are extended once, and null or equal ids make no difference. Null and empty texts have no
+Texts are matched by content: equal texts are extended once, and null or equal ids make no difference; an item without an id counts as
+a hit and is in no list of items. Null and empty texts have no
 words, no hits and no items; an empty benchmark leaves every document clean. Other columns are not read. Joins have no hint: the item
 table is written first, so that Spark knows its size and sends it to all tasks only below its own limit.
 """
@@ -90,7 +91,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     own = F.filter(fingerprints(F.col("w"), window, gram, short), lambda f: (f["n"] == window) | (f["n"] == F.size("w")))
     spots = bind(F.col("w"), lambda w: bind(own, lambda f: places(w, f, window, gram, short)))
     test_places = tests.select("item", F.explode(spots).alias("p")).select("item", "p.*")
-    test_places = test_places.where(F.col("item").isNotNull()).groupBy("n", "h", "gram", "left", "right").agg(F.collect_set("item").alias("items"))
+    test_places = test_places.groupBy("n", "h", "gram", "left", "right").agg(F.collect_set("item").alias("items"))
     test_places = stored(test_places, "benchmark-places")
     wanted = stored(test_places.select("n", "h").distinct(), "benchmark-fingerprints")
 

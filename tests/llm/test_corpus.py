@@ -274,6 +274,17 @@ def test_winnowing(spark, docs):
     assert winnowing.contamination(empty(spark), spark.createDataFrame([("a", "b", 0.0)], ITEMS)).count() == 0
 
 
+def test_winnowing_counts_items_without_an_id(spark, docs):
+    body = texts()
+    items = spark.createDataFrame([(None, body[5], 0.0), (None, "x1 river", 0.0), ("a", body[6][:200], 0.0), ("b", body[5], 0.0)], ITEMS)
+    none = items.where("item_id is null")
+    got, plain = by_id(winnowing.contamination(docs, none)), hits(body, [("n", body[5]), ("n", "x1 river")])
+    assert {i: (r["n_hit"], r["item_ids"], r["contaminated"]) for i, r in got.items()} == {i: (h, [], bool(ids)) for i, (_, h, ids) in plain.items()}
+    got, plain = by_id(winnowing.contamination(docs, items)), hits(body, [("n", body[5]), ("n", "x1 river"), ("a", body[6][:200]), ("b", body[5])])
+    assert {i: (r["n_hit"], r["item_ids"]) for i, r in got.items()} == {i: (h, [x for x in ids if x != "n"]) for i, (_, h, ids) in plain.items()}
+    assert got[5]["contaminated"]
+
+
 def test_katz_adds_up_to_one_and_matches(spark, stable):
     train = F.col("doc_id") % 5 != 1
     got = by_id(katz.score(stable.withColumn("train", train)))
