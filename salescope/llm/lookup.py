@@ -15,16 +15,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescope.llm.common import stored
+
 BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 600_000
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """``doc_id, text, block`` and the size of all texts. Equal rows share a block only by chance of their row hash and id."""
+    """``doc_id, text, block`` and the size of all texts. Rows of one id spread by their texts, and equal rows by where they are stored."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     count = max(1, -(-total // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", F.lit(count)), F.lit(count)).cast("int")
-    return docs.select("doc_id", "text", block.alias("block")), total
+    placed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_place"))
+    block = F.pmod(F.xxhash64("doc_id", "text", "_place", F.lit(count)), F.lit(count)).cast("int")
+    return stored(placed.withColumn("block", block).drop("_place"), "blocks"), total
 
 
 def buckets_for(total_keys: int) -> int:

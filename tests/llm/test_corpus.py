@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from salescope.llm import columnwise, components, katz, language, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
+from salescope.llm import columnwise, components, katz, language, lookup, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
 from salescope.llm.ragged import mix
 from salescope.session import scratch_path
 
@@ -417,6 +417,16 @@ def test_windows(spark, docs):
     assert windows.removed_words(empty(spark), 35).count() == 0
 
 
+def test_blocks_spread_rows_of_one_id(spark):
+    rows = spark.createDataFrame([(None, "same words " * 20)] * 200 + [(7, f"text {i} " * 20) for i in range(200)], "doc_id long, text string")
+    for part in (rows, rows.where("doc_id is null"), rows.where("doc_id = 7")):
+        dealt, total = lookup.blocks(part, 4000)
+        count = -(-total // 4000)
+        sizes = [r["n"] for r in dealt.groupBy("block").agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) > count / 2 and max(sizes) < 10 * part.count() / count
+    assert {r["n_removed"] for r in windows.removed_words(rows, 35).where("doc_id is null").collect()} == {40}
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     extra = docs.withColumn("lang_pred", F.lit("x"))
     spark.createDataFrame([("a", texts()[6][:300], 0.0)], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
