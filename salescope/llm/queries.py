@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import columnwise, katz, language, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
+from salescope.llm import columnwise, infill, katz, language, licenses, merkle, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
 from salescope.session import scratch_path
 
 QUERIES: dict = {}
@@ -110,3 +110,100 @@ def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_columnwise_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columnwise.removed_bytes(table(spark, sf_dir, "documents"), 100).drop("spans")
+
+
+@registered
+def op11_swar_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transform(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+SQL["op11_swar_infill"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS g FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, ('0x' || g[1:8])::BIGINT AS h1, ('0x' || g[9:16])::BIGINT AS h2,
+        ('0x' || g[17:24])::BIGINT AS h3, ('0x' || g[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM o
+"""
+
+
+@registered
+def op12_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.detect(table(spark, sf_dir, "documents"))
+    phrases = F.filter("found", lambda d: d["tier"] == "phrase")
+    named = lambda of: F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda d: d["label"]))), ",")
+    return found.select("doc_id", "n_words", F.size(phrases).cast("long").alias("n_base"),
+                        F.array_min(F.transform(phrases, lambda d: d["first"])).alias("first_word"),
+                        F.array_max(F.transform(phrases, lambda d: d["first"])).alias("last_word"),
+                        named(phrases).alias("base_labels"), named(F.col("found")).alias("labels"),
+                        F.coalesce(F.array_max(F.transform("found", lambda d: d["sure"])), F.lit(0.0)).alias("score"),
+                        F.size("found").cast("long").alias("n_found"))
+
+
+@registered
+def op13_lag_lead_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = lambda n_chars: [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False)) & F.col("n_chars").isNotNull()
+    leaves = docs.select("doc_id", "lang", merkle.leaf(*fields(F.col("n_chars"))).alias("leaf"),
+                         F.when(changed, merkle.leaf(*fields(F.col("n_chars") + 1))).alias("tampered"))
+    found = merkle.manifest(leaves, "doc_id", "lang")
+    found = found.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+SQL["op13_lag_lead_merkle"] = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    coalesce(strlen(text) || ':' || text, '-') AS b,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, byte: list_reduce(list_prepend(xor(c, byte), range(8)), lambda k, i: xor(k >> 1, 3988292384 * (k & 1)))),
+      4294967295) % 7 = 0 AS hit
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || b) AS leaf,
+    sha256(a || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || b) AS changed, coalesce(hit, false) AS hit,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+  FROM sized),
+low AS (
+  SELECT lang, 0 AS level, i, leaf AS node, n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM low WHERE n > 1 GROUP BY lang, level, i // 2, n),
+subroots AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, i, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM high WHERE n > 1 GROUP BY level, i // 2, n),
+steps AS (
+  SELECT l.doc_id, a.level, coalesce(s.node, '') AS sibling, s.i < a.i AS first
+  FROM leaves l JOIN low a ON a.lang IS NOT DISTINCT FROM l.lang AND a.n > 1 AND a.i = l.i >> a.level
+  LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM a.lang AND s.level = a.level AND s.i = xor(a.i, 1)
+  UNION ALL
+  SELECT l.doc_id, 1000 + a.level, coalesce(s.node, ''), s.i < a.i
+  FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN high a ON a.n > 1 AND a.i = r.i >> a.level
+  LEFT JOIN high s ON s.level = a.level AND s.i = xor(a.i, 1)),
+ways AS (
+  SELECT doc_id, sha256(string_agg(sibling, '' ORDER BY level)) AS proof_sha256, count(*) AS steps,
+    list(sibling ORDER BY level) AS siblings, list(coalesce(first, false) ORDER BY level) AS firsts
+  FROM steps GROUP BY doc_id),
+folds AS (
+  SELECT l.doc_id, 0 AS k, CASE WHEN hit THEN changed ELSE leaf END AS node FROM leaves l
+  UNION ALL
+  SELECT f.doc_id, k + 1, sha256(CASE WHEN firsts[k + 1] THEN siblings[k + 1] || node ELSE node || siblings[k + 1] END)
+  FROM folds f JOIN ways w ON w.doc_id = f.doc_id WHERE k < steps)
+SELECT l.doc_id, l.leaf, r.subroot, t.node AS root, coalesce(w.proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = t.node AS verified
+FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang LEFT JOIN ways w ON w.doc_id = l.doc_id
+JOIN folds f ON f.doc_id = l.doc_id AND f.k = coalesce(w.steps, 0), (SELECT node FROM high WHERE n = 1) t
+"""
