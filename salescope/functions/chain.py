@@ -20,12 +20,13 @@ FEATURE_GROUPS = {
 }
 
 
-def add_all_features(df: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+def add_all_features(df: DataFrame, categories: Sequence[str] | None = None, priced: DataFrame | None = None) -> DataFrame:
+    """All feature groups; ``priced`` has the unit prices of ``df`` without its joins, for the price edges."""
     return (
         df.transform(add_time_parts)
         .transform(add_holidays)
         .transform(add_seasons)
-        .transform(add_item_features, categories)
+        .transform(add_item_features, categories, priced)
         .transform(add_ingredient_features)
         .transform(add_cycles)
     )

@@ -55,10 +55,13 @@ def quantile_label(value: Column, edges: Column, labels: Sequence[str] = PRICE_L
 
 
 def add_price_bucket(df: DataFrame, price: str = "unit_price", labels: Sequence[str] = PRICE_LABELS,
-                     name: str = "price_bucket") -> DataFrame:
-    """Equal-frequency price labels from exact quantiles of the whole table; equal edges are an error."""
+                     name: str = "price_bucket", priced: DataFrame | None = None) -> DataFrame:
+    """Equal-frequency price labels from exact quantiles of the whole table; equal edges are an error.
+
+    ``priced`` holds the same prices without the joins of ``df``; the passes over the prices then read only that.
+    """
     steps = [i / len(labels) for i in range(len(labels) + 1)]
-    edges = quantiles(df, price, steps)
+    edges = quantiles(df if priced is None else priced, price, steps)
     repeated = F.size(F.array_distinct("q")) < len(steps)
     checked = edges.select(F.when(repeated, F.raise_error(F.lit("bin edges must be unique"))).otherwise(F.col("q")))
     return df.withColumn(name, quantile_label(F.col(price), checked.scalar(), labels))
@@ -89,7 +92,7 @@ def add_label_code(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.join(label_codes(df, column, name), column, "left")
 
 
-def add_item_features(df: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+def add_item_features(df: DataFrame, categories: Sequence[str] | None = None, priced: DataFrame | None = None) -> DataFrame:
     """Unit price, bulk flag, size rank, category one-hot, price and order-value buckets, complexity."""
     out = df.withColumns(
         {
@@ -101,7 +104,7 @@ def add_item_features(df: DataFrame, categories: Sequence[str] | None = None) ->
             "is_complex_item": flag(ingredient_count(F.col("ingredients")) >= 5),
         }
     )
-    return add_price_bucket(one_hot(out, "category", "category", categories))
+    return add_price_bucket(one_hot(out, "category", "category", categories), priced=priced)
 
 
 def vocabulary(df: DataFrame, text: str = "ingredients") -> DataFrame:

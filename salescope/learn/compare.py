@@ -105,21 +105,21 @@ def compare_classifiers(data: DataFrame, features: Sequence[str], key: str, clas
 
 
 def compare_clusterings(df: DataFrame, key: str, features: Sequence[str], k: int = 5, eps: float = 0.5, min_samples: int = 5) -> DataFrame:
-    """Silhouette, Davies-Bouldin and cluster count per method on scaled features, best silhouette first.
+    """Silhouette (of squared distances), Davies-Bouldin and cluster count per method on scaled features, best silhouette first.
 
     Fewer than two clusters score -1 and 999.
     """
     scaled = cut_lineage(clusters.standardise(df.select(key, *features), features))
     methods = {
-        "K-Means": ("KMeans", {"n_clusters": k, "init": "k-means||", "n_init": 1}),
+        "K-Means": ("KMeans", {"n_clusters": k, "n_init": 10}),
         "Hierarchical": ("Hierarchical", {"n_clusters": k}),
         "DBSCAN": ("DBSCAN", {"eps": eps, "min_samples": min_samples, "metric": "euclidean"}),
         "Gaussian Mixture": ("GMM", {"n_components": k}),
     }
 
     def measured(algorithm: str, params: dict) -> DataFrame:
-        labelled = cut_lineage(scaled.join(clusters.fit_labels(scaled, key, features, algorithm, params), key))
-        width = clusters.silhouette(labelled, key, features).scalar()
+        labelled = cut_lineage(scaled.join(clusters.fit_labels(scaled, key, features, [(algorithm, params)])[0], key))
+        width = clusters.silhouette_squared(labelled, features).scalar()
         ratio = clusters.davies_bouldin(labelled, features, missing=999.0).scalar()
         return clusters.cluster_counts(labelled).select(width.alias("s"), ratio.alias("d"), F.col("clusters").cast("int"))
 

@@ -15,9 +15,10 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringInd
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from salescope.learn import gram
 from salescope.learn.metrics import wide_metrics
 from salescope.operators.neighbours import knn_regression
-from salescope.operators.ordered import quantiles
+from salescope.operators.ordered import medians, one_row
 from salescope.operators.series import random_split
 from salescope.session import cut_lineage
 
@@ -26,7 +27,7 @@ SEED = 42
 # Parameter grids, two values for each parameter that Spark ML has.
 REGRESSION_GRID = {
     "DecisionTree": {"max_depth": [10, 20], "min_samples_leaf": [1, 4]},
-    "LinearRegression": {"fit_intercept": [True, False]},
+    "LinearRegression": {"fit_intercept": [True, False], "positive": [True, False]},
     "RandomForest": {"n_estimators": [100, 200], "max_depth": [10, 20]},
     "BoostedTrees": {"n_estimators": [100, 200], "max_depth": [3, 7], "learning_rate": [0.1, 0.2]},
     "KNN": {"n_neighbors": [3, 7], "weights": ["uniform", "distance"], "p": [1, 2]},
@@ -70,8 +71,9 @@ def impute(df: DataFrame, numeric: Sequence[str], one_hot: Sequence[str] = ()) -
 
 
 def impute_exact(df: DataFrame, numeric: Sequence[str], one_hot: Sequence[str] = ()) -> DataFrame:
-    """Like ``impute`` with the interpolated median."""
-    out = df.withColumns({c: F.coalesce(F.col(c), quantiles(df, c, [0.5]).scalar()[0]) for c in numeric})
+    """Like ``impute`` with the interpolated median; all columns' medians come from the same passes."""
+    middle = one_row(medians(df, numeric))
+    out = df.withColumns({c: F.coalesce(F.col(c), middle[c]) for c in numeric})
     return out.fillna(0, subset=list(one_hot)) if one_hot else out
 
 
@@ -156,24 +158,32 @@ RUN_SCHEMA = (
 def regression_grid(data: DataFrame, grid: dict[str, dict], key: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Train every configuration on the train split of ``data`` (features, label, split).
 
-    Returns the run table and the predictions of all runs, one column per run, for ensembles.
+    Linear models of all kinds are solved together from ``columns``. Returns the run table and the predictions of all runs, one
+    column per run, for ensembles.
     """
     fixed = data.persist()
     train = fixed.where(F.col("split") == "train")
-    n, std = label_size(fixed)
+    linear = {k: v for k, v in grid.items() if k in gram.KINDS}
+    solved = {r["run_name"]: r for r in gram.linear_grid(fixed, gram.Design(list(columns)), linear)} if linear else {}
     rows, scored = [], fixed
     for name, options in grid.items():
         for number, params in enumerate(combinations(options), 1):
             start = time.perf_counter()
             column = f"p{len(rows)}"
+            if name in gram.KINDS:
+                row = dict(solved[run_name(name, params)])
+                model = row.pop("model")
+                terms = [F.col(c) * F.lit(float(w)) for c, w in zip(columns, model.weights)]
+                scored = scored.withColumn(column, sum(terms, F.lit(model.intercept)))
+                rows.append(row)
+                continue
             if name == "KNN":
                 predictions = cut_lineage(
                     knn_regression(train, fixed, columns, "label", key, params["n_neighbors"], params["weights"], params["p"])
                 )
                 scored = scored.join(predictions.withColumnRenamed("prediction", column), key)
             else:
-                model = regressor(name, n, std, **params).setPredictionCol(column).fit(train)
-                scored = model.transform(scored)
+                scored = regressor(name, **params).setPredictionCol(column).fit(train).transform(scored)
             seconds = time.perf_counter() - start
             metrics = wide_metrics(scored.select("split", "label", column), prediction=column).first().asDict()
             rows.append(

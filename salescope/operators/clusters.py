@@ -10,12 +10,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from salescope.operators.centroids import Shape, Start, best_start, kmeans_starts, likeliest, mixtures, nearest_centre, points
 from salescope.operators.density import dbscan
+from salescope.operators.linkage import hierarchies
 from salescope.operators.ordered import one_row
 from salescope.operators.tiles import TILE_ROWS, tiled
 from salescope.session import cut_lineage
@@ -42,12 +43,12 @@ def _predict(model, data: DataFrame, key: str) -> DataFrame:
     return model.transform(data).select(key, F.col("prediction").alias("cluster"))
 
 
-def kmeans(df: DataFrame, key: str, features: Sequence[str], k: int, init: str = "k-means||", n_init: int = 1,
+def kmeans(df: DataFrame, key: str, features: Sequence[str], k: int, init: str = "k-means++", n_init: int = 1,
            seed: int = 42) -> DataFrame:
-    """Labels of the lowest-cost model among ``n_init`` seeds."""
-    data = vectors(df, features).select(key, "features").persist()
-    models = [KMeans(k=k, initMode=init, seed=seed + i).fit(data) for i in range(n_init)]
-    return _predict(min(models, key=lambda m: m.summary.trainingCost), data, key)
+    """Labels of the lowest-cost model among ``n_init`` seeds, all fitted in the same passes."""
+    data = points(df, key, features)
+    starts = [Start(k, init, seed + i) for i in range(n_init)]
+    return nearest_centre(data, key, features, best_start(kmeans_starts(data, features, starts), range(n_init)))
 
 
 def divisive(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
@@ -62,10 +63,10 @@ def divisive(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int
     return _predict(BisectingKMeans(k=k, seed=seed).fit(data), data, key)
 
 
-def mixture(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """Most likely component of a full-covariance Gaussian mixture."""
-    data = vectors(df, features).select(key, "features").persist()
-    return _predict(GaussianMixture(k=k, seed=seed).fit(data), data, key)
+def mixture(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42, tied: bool = False, init: str = "kmeans") -> DataFrame:
+    """Most likely component of a Gaussian mixture; ``tied`` components share one covariance."""
+    data = points(df, key, features)
+    return likeliest(data, key, features, mixtures(data, features, [Shape(k, tied, init)], seed)[0][0])
 
 
 def cluster_counts(labelled: DataFrame) -> DataFrame:
@@ -118,10 +119,47 @@ def silhouette(labelled: DataFrame, key: str, features: Sequence[str], tile: int
     return per_point.agg(F.coalesce(score, F.lit(NO_SCORE)).alias("silhouette"))
 
 
-def silhouette_squared(labelled: DataFrame, features: Sequence[str]) -> float:
-    """Silhouette under squared distance, one pass over the data; for tables too large for all distances."""
-    kept = vectors(labelled.where(F.col("cluster") != -1), features)
-    return ClusteringEvaluator(predictionCol="cluster").evaluate(kept)
+def moments(labelled: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Of each cluster that is not noise: its points, their sum in each feature and their summed squared length."""
+    kept = labelled.where(F.col("cluster") != -1)
+    length = reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in features])
+    return kept.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in features]).alias("total"), F.sum(length).alias("squares"))
+
+
+def squared_widths(labelled: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The points that are not noise with their silhouette ``width`` under squared distance, and the number of ``clusters``.
+
+    A point's mean squared distance to a cluster follows from the cluster's moments, so one aggregate and one pass over the points
+    do, and all clusters' moments go with the pass (a row for each cluster). Far from the origin the moments cancel: scale or
+    centre the features first.
+    """
+    of = F.struct("cluster", "n", "total", "squares")
+    table = moments(labelled, features).agg(F.sort_array(F.collect_list(of)).alias("m"))
+    point = F.array(*[F.col(c).cast("double") for c in features])
+    length = reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in features])
+
+    def total(c: Column) -> Column:
+        """Summed squared distance of the row to the points of a cluster."""
+        dot = F.aggregate(F.zip_with("_x", c["total"], lambda p, q: p * q), F.lit(0.0), lambda at, v: at + v)
+        return F.greatest(c["n"] * F.col("_length") + c["squares"] - 2 * dot, F.lit(0.0))
+
+    rows = labelled.where(F.col("cluster") != -1).withColumns({"_x": point, "_length": length, "_m": table.scalar()})
+    own = F.filter("_m", lambda c: c["cluster"] == F.col("cluster"))[0]
+    others = F.filter("_m", lambda c: c["cluster"] != F.col("cluster"))
+    rows = rows.withColumns({
+        "_a": F.when(own["n"] > 1, total(own) / (own["n"] - 1)),
+        "_b": F.array_min(F.transform(others, lambda c: total(c) / c["n"])),
+    })
+    width = F.when(F.col("_a").isNull(), 0.0).otherwise(
+        F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0)))
+    return rows.select(*labelled.columns, width.alias("width"), F.size("_m").alias("clusters"))
+
+
+def silhouette_squared(labelled: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row: mean silhouette under squared distance of the points that are not noise; -1 with fewer than two clusters."""
+    score = F.when(F.max("clusters") >= 2, F.avg("width")).otherwise(NO_SCORE)
+    return squared_widths(labelled, features).agg(F.coalesce(score, F.lit(NO_SCORE)).alias("silhouette"))
 
 
 def centroids(labelled: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -166,57 +204,72 @@ def calinski_harabasz(labelled: DataFrame, features: Sequence[str]) -> DataFrame
     return sums.select(ratio.alias("calinski_harabasz"))
 
 
-def scores(labelled: DataFrame, key: str, features: Sequence[str]) -> tuple[float, float]:
-    """Silhouette and Davies-Bouldin of a labelling; both -1 with fewer than two clusters."""
+def scores(labelled: DataFrame, key: str, features: Sequence[str], exact: bool = False) -> tuple[float, float]:
+    """Silhouette and Davies-Bouldin of a labelling; both -1 with fewer than two clusters.
+
+    The silhouette is that of squared distances, from the clusters' moments; ``exact`` takes all plain distances, which costs the
+    square of the rows.
+    """
     fixed = cut_lineage(labelled)
-    width = silhouette(fixed, key, features).first()[0]
+    width = (silhouette(fixed, key, features) if exact else silhouette_squared(fixed, features)).first()[0]
     return width, (davies_bouldin(fixed, features).first()[0] if width != NO_SCORE else NO_SCORE)
 
 
-# Parameter grids, two values per parameter.
+# Parameter grids, three parameters of two values for each algorithm.
 CLUSTER_GRID = {
-    "KMeans": {"n_clusters": [3, 5], "init": ["k-means||", "random"], "n_init": [10, 20]},
+    "KMeans": {"n_clusters": [3, 5], "init": ["k-means++", "random"], "n_init": [10, 20]},
     "DBSCAN": {"eps": [0.5, 1.0], "min_samples": [2, 4], "metric": ["euclidean", "manhattan"]},
-    "Hierarchical": {"n_clusters": [3, 5]},
-    "GMM": {"n_components": [3, 5]},
+    "Hierarchical": {"n_clusters": [3, 5], "linkage": ["average", "complete"], "metric": ["euclidean", "manhattan"]},
+    "GMM": {"n_components": [3, 5], "covariance_type": ["full", "tied"], "init_params": ["kmeans", "random"]},
 }
 
 
-def fit_labels(df: DataFrame, key: str, features: Sequence[str], algorithm: str, params: dict) -> DataFrame:
-    if algorithm == "KMeans":
-        return kmeans(df, key, features, params["n_clusters"], params["init"], params["n_init"])
-    if algorithm == "DBSCAN":
-        return dbscan(df, key, features, params["eps"], params["min_samples"], params["metric"])
-    if algorithm == "Hierarchical":
-        return divisive(df, key, features, params["n_clusters"])
-    if algorithm == "GMM":
-        return mixture(df, key, features, params["n_components"])
-    raise ValueError(f"unknown algorithm {algorithm}")
+def fit_labels(df: DataFrame, key: str, features: Sequence[str], configs: Sequence[tuple[str, dict]], seed: int = 42) -> list[DataFrame]:
+    """``key, cluster`` of each configuration. Those of one algorithm are fitted together, in the same passes over the points."""
+    data, out = points(df, key, features), [None] * len(configs)
+    chosen = {name: [(i, p) for i, (algorithm, p) in enumerate(configs) if algorithm == name] for name, _ in configs}
+    for name, own in chosen.items():
+        if name == "KMeans":
+            starts = sorted({Start(p["n_clusters"], p.get("init", "k-means++"), seed + i) for _, p in own for i in range(p.get("n_init", 1))})
+            found = kmeans_starts(data, features, starts)
+            for i, p in own:
+                seeds = [starts.index(Start(p["n_clusters"], p.get("init", "k-means++"), seed + j)) for j in range(p.get("n_init", 1))]
+                out[i] = nearest_centre(data, key, features, best_start(found, seeds))
+        elif name == "GMM":
+            shapes = [Shape(p["n_components"], p.get("covariance_type", "full") == "tied", p.get("init_params", "kmeans")) for _, p in own]
+            for (i, _), (fitted, _) in zip(own, mixtures(data, features, shapes, seed)):
+                out[i] = likeliest(data, key, features, fitted)
+        elif name == "Hierarchical":
+            shapes = [(p["n_clusters"], p.get("linkage", "average"), p.get("metric", "euclidean")) for _, p in own]
+            for (i, _), labels in zip(own, hierarchies(data, key, features, shapes)):
+                out[i] = labels
+        elif name == "DBSCAN":
+            with ThreadPoolExecutor(4) as pool:
+                runs = [(i, pool.submit(dbscan, data, key, features, p["eps"], p["min_samples"], p.get("metric", "euclidean"))) for i, p in own]
+                for i, run in runs:
+                    out[i] = run.result()
+        else:
+            raise ValueError(f"unknown algorithm {name}")
+    return out
 
 
 def cluster_grid(df: DataFrame, key: str, features: Sequence[str], grid: dict | None = None, parallel: int = 4) -> DataFrame:
     """Run table of the grid, in configuration order, with quality scores and seconds.
 
-    Configurations are independent jobs on one materialised table; ``parallel`` of them are in flight at a time.
+    The configurations of an algorithm are fitted together, so each carries an equal part of its seconds; ``parallel`` labellings are scored at a time.
     """
     data = cut_lineage(df.select(key, *features))
-    configs = [
-        (algorithm, dict(zip(options, values)))
-        for algorithm, options in (grid or CLUSTER_GRID).items()
-        for values in itertools.product(*options.values())
-    ]
-
-    def run(config: tuple[str, dict]) -> tuple:
-        algorithm, params = config
+    rows = []
+    for algorithm, options in (grid or CLUSTER_GRID).items():
         start = time.perf_counter()
-        labels = fit_labels(data, key, features, algorithm, params)
-        width, ratio = scores(data.join(labels, key), key, features)
-        return algorithm, {k: str(v) for k, v in params.items()}, width, ratio, time.perf_counter() - start
-
-    with ThreadPoolExecutor(parallel) as pool:
-        rows = [(i, *row) for i, row in enumerate(pool.map(run, configs), 1)]
+        configs = [(algorithm, dict(zip(options, values))) for values in itertools.product(*options.values())]
+        labels = [cut_lineage(found) for found in fit_labels(data, key, features, configs)]
+        seconds = (time.perf_counter() - start) / len(configs)
+        with ThreadPoolExecutor(parallel) as pool:
+            scored = pool.map(lambda found: scores(data.join(found, key), key, features), labels)
+            rows += [(algorithm, {k: str(v) for k, v in params.items()}, *both, seconds) for (_, params), both in zip(configs, scored)]
     return df.sparkSession.createDataFrame(
-        rows,
+        [(i, *row) for i, row in enumerate(rows, 1)],
         "config int, algorithm string, params map<string,string>, silhouette double, davies_bouldin double, seconds double",
     )
 

@@ -1,78 +1,62 @@
-"""Density clustering (DBSCAN) as joins over a grid.
+"""Density clustering (DBSCAN) over a tree of cells.
 
-Cells are small enough that any two points of one cell are neighbours, so a
-crowded cell is settled by its weight alone and no pairs inside a cell are ever
-formed. Between cells, bounding boxes decide most cases; the remaining ones are
-split into smaller boxes until boxes or a few points decide them.
+Equal points become one weighted point. Pairs of cells go down the tree together, from the root with itself: a pair farther apart than
+``eps`` is dropped, a pair whose farthest corners are within ``eps`` is settled whole, by the weights of its boxes, and only pairs of
+leaves that are neither are compared point by point, one pair in a task at a time. So a crowd in one place is settled by a few boxes,
+whatever its size and the number of dimensions, and no pairs of its points are formed. A leaf whose boxes settled whole already hold
+``min_samples`` is not counted any further. Comparisons pass on a star for each connected group they find, not their pairs.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salescope.operators import cells
 from salescope.operators.ordered import running
 from salescope.session import cut_lineage
 
-MAX_DIMENSIONS = 6
-# box pairs with at most this many point pairs are compared point by point
-DIRECT_PAIRS = 1024
+LEAF = 512
+#: Pairs of leaves that are compared in one task.
+TASK_PAIRS = 256
 
 
-def _norm(parts: Sequence[Column], metric: str) -> Column:
-    if metric == "manhattan":
-        return reduce(lambda a, b: a + b, parts)
-    return F.sqrt(reduce(lambda a, b: a + b, [p * p for p in parts]))
-
-
-def _distance(a: str, b: str, d: int, metric: str) -> Column:
-    return _norm([F.abs(F.col(a)[i] - F.col(b)[i]) for i in range(d)], metric)
-
-
-def _least_gap(alo: str, ahi: str, blo: str, bhi: str, d: int, metric: str) -> Column:
-    """Smallest possible distance between points of two boxes."""
-    sides = [
-        F.greatest(F.col(blo)[i] - F.col(ahi)[i], F.col(alo)[i] - F.col(bhi)[i], F.lit(0.0)) for i in range(d)
-    ]
-    return _norm(sides, metric)
-
-
-def _largest_gap(alo: str, ahi: str, blo: str, bhi: str, d: int, metric: str) -> Column:
-    """Largest possible distance between points of two boxes."""
-    return _norm([F.greatest(F.col(bhi)[i] - F.col(alo)[i], F.col(ahi)[i] - F.col(blo)[i]) for i in range(d)], metric)
-
-
-def _box(d: int) -> list[Column]:
-    return [
-        F.array(*[F.min(F.col("x")[i]) for i in range(d)]).alias("lo"),
-        F.array(*[F.max(F.col("x")[i]) for i in range(d)]).alias("hi"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("w").alias("weight"),
-    ]
-
-
-def _grid(side: float, d: int) -> Column:
-    return F.array(*[F.floor(F.col("x")[i] / F.lit(side)) for i in range(d)])
-
-
-def _named(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the links with the least node it reaches, but for those least nodes themselves."""
+    names, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(names))
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = root != np.arange(len(names))
+    return names[moved], names[root[moved]]
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of (u, v) edges: each node with the smallest node it reaches.
 
-    Alternating star contraction; the number of rounds grows with the logarithm of the graph.
+    Tasks first reduce their own edges to stars; alternating star contraction then joins these. The number of rounds grows with the
+    logarithm of the graph.
     """
-    links = cut_lineage(
-        edges.where(F.col("u") != F.col("v"))
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
-    )
+
+    def reduce_own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(batches)
+        if held:
+            u, v = stars(*(np.concatenate([b[c].to_numpy() for b in held]) for c in ("u", "v")))
+            yield pd.DataFrame({"u": u, "v": v})
+
+    links = cut_lineage(edges.mapInPandas(reduce_own, "u long, v long").distinct())
     print_of = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = print_of(links)
     while True:
@@ -91,141 +75,198 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def _cell_links(core: DataFrame, near: DataFrame, eps: float, side: float, d: int, metric: str) -> DataFrame:
-    """Pairs of cells that hold two core points within ``eps`` of each other."""
-    pairs = near.where(F.col("acell") < F.col("bcell"))
+def _apart(a: str, b: str, metric: str, farthest: bool) -> Column:
+    """Least or greatest distance between two boxes."""
+    def minus(x: str, y: str) -> Column:
+        return F.zip_with(F.col(x), F.col(y), lambda p, q: p - q)
 
-    def boxes(level: int) -> DataFrame:
-        part = _grid(side / 2**level, d)
-        return core.withColumn("part", part).groupBy("cell", "part").agg(*_box(d))
+    one, two = (minus(f"{b}.hi", f"{a}.lo"), minus(f"{a}.hi", f"{b}.lo")) if farthest else (minus(f"{b}.lo", f"{a}.hi"), minus(f"{a}.lo", f"{b}.hi"))
+    sides = F.zip_with(one, two, lambda p, q: F.greatest(p, q) if farthest else F.greatest(p, q, F.lit(0.0)))
+    size = cells.norm(sides, metric)
+    return size if metric == "manhattan" else F.sqrt(size)
 
-    level = 0
-    top = boxes(0).select("cell", "part", "lo", "hi", "n")
-    pending = pairs.join(_named(top, "a"), "acell").join(_named(top, "b"), "bcell")
-    linked: list[DataFrame] = []
+
+def close_pairs(tree: cells.Tree, eps: float, metric: str) -> DataFrame:
+    """Unordered pairs of cells ``a``, ``b`` with their weights: ``whole`` ones, and pairs of leaves to compare.
+
+    Each pair of points within ``eps`` lies in exactly one of them.
+    """
+    node = F.struct("cell", "lo", "hi", "weight", "inner")
+    children = tree.nodes.where("parent is not null").groupBy("parent").agg(F.collect_list(node).alias("children"))
+    children = cells.small(children, tree.inner)
+    pairs = tree.nodes.where(F.col("cell") == cells.ROOT).select(node.alias("a"), node.alias("b"))
+    settled = []
+    for level in range(tree.depth + 1):
+        whole = _apart("a", "b", metric, True) <= eps
+        leaves = ~F.col("a.inner") & ~F.col("b.inner")
+        judged = pairs.where(_apart("a", "b", metric, False) <= eps).withColumns({"whole": whole, "open": ~whole & ~leaves})
+        judged = cut_lineage(judged)
+        settled.append(judged.where(~F.col("open")).select(
+            F.col("a.cell").alias("a"), F.col("b.cell").alias("b"), F.col("a.weight").alias("a_weight"), F.col("b.weight").alias("b_weight"), "whole"))
+        if level == tree.depth:
+            break
+        pairs = judged.where("open").select("a", "b", (F.col("a.cell") == F.col("b.cell")).alias("same"))
+        for side in ("a", "b"):
+            met = pairs.join(children, F.col(f"{side}.cell") == F.col("parent"), "left")
+            each = F.explode(F.when(F.col("children").isNull(), F.array(side)).otherwise(F.col("children"))).alias(side)
+            pairs = met.select(*[c for c in ("a", "b", "same") if c != side], each)
+        pairs = pairs.where(~F.col("same") | (F.col("a.cell") <= F.col("b.cell"))).select("a", "b")
+    return cut_lineage(reduce(DataFrame.unionByName, settled).repartition("a", "b")) if tree.depth else settled[0]
+
+
+def ancestors(cell: Column) -> Column:
+    """A cell and all cells around it."""
+    parts = F.split(cell, r"\.")
+    inner = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "."))
+    return F.array_distinct(F.concat(F.array(F.lit(cells.ROOT)), inner))
+
+
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Each pair from both sides, one of a cell with itself once."""
+    turned = pairs.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("b_weight").alias("a_weight"), F.col("a_weight").alias("b_weight"))
+    return pairs.select("a", "b", "a_weight", "b_weight").unionByName(turned)
+
+
+def _dealt(pairs: DataFrame, points: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The points of both cells of each pair, with a task for each ``TASK_PAIRS`` pairs or so."""
+    tasks = max(1, pairs.count() // TASK_PAIRS)
+    dealt = pairs.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks)))
+    sides = [
+        dealt.join(points, F.col(side) == F.col("cell")).select("task", "a", "b", F.lit(i).alias("side"), *names)
+        for i, side in enumerate(("a", "b"))
+    ]
+    return sides[0].unionByName(sides[1].where("a <> b"))
+
+
+def _within(x: np.ndarray, y: np.ndarray, eps: float, metric: str) -> np.ndarray:
+    away = np.abs(x[:, None, :] - y[None, :, :])
+    return (away.sum(axis=2) if metric == "manhattan" else np.sqrt((away**2).sum(axis=2))) <= eps
+
+
+def _pairs_of(frame: pd.DataFrame, names: Sequence[str]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], bool]]:
+    """The columns of both sides of each pair, and whether they are one cell."""
+    a, b, side = pd.factorize(frame["a"])[0], pd.factorize(frame["b"])[0], frame["side"].to_numpy()
+    same = (frame["a"] == frame["b"]).to_numpy()
+    order = np.lexsort((side, b, a))
+    a, b, side, same = a[order], b[order], side[order], same[order]
+    columns = [(np.stack(frame[c].to_numpy()) if c == "x" else frame[c].to_numpy())[order] for c in names]
+    cuts = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
+    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(a)]):
+        middle = begin + int((side[begin:end] == 0).sum())
+        left = [c[begin:middle] for c in columns]
+        yield left, left if same[begin] else [c[middle:end] for c in columns], bool(same[begin])
+
+
+def _counting(eps: float, metric: str):
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
+        nodes, counts = [], []
+        for (x, node, w), (y, other, v), same in _pairs_of(frame, ["x", "node", "w"]):
+            near = _within(x, y, eps, metric)
+            nodes.append(node)
+            counts.append(near @ v)
+            if not same:
+                nodes.append(other)
+                counts.append(near.T @ w)
+        return pd.DataFrame({"node": np.concatenate(nodes), "c": np.concatenate(counts)})
+
+    return count
+
+
+def _grouped(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least row that each row and each column of a table hangs together with; the number of rows for a column without any."""
+    high = len(near)
+    label = np.arange(high)
     while True:
-        least = _least_gap("alo", "ahi", "blo", "bhi", d, metric)
-        most = _largest_gap("alo", "ahi", "blo", "bhi", d, metric)
-        direct = F.col("an") * F.col("bn") <= DIRECT_PAIRS
-        state = cut_lineage(
-            pending.withColumn(
-                "verdict", F.when(least > eps, "apart").when(most <= eps, "linked").when(direct, "direct").otherwise("open")
-            ).where(F.col("verdict") != "apart")
-        )
-        sure = state.where(F.col("verdict") == "linked").select("acell", "bcell").distinct()
-        points = core.withColumn("part", _grid(side / 2**level, d)).select("cell", "part", "x")
-        compared = (
-            state.where(F.col("verdict") == "direct")
-            .select("acell", "bcell", "apart", "bpart")
-            .join(sure, ["acell", "bcell"], "left_anti")
-            .join(_named(points, "a"), ["acell", "apart"])
-            .join(_named(points, "b"), ["bcell", "bpart"])
-            .where(_distance("ax", "bx", d, metric) <= eps)
-            .select("acell", "bcell")
-            .distinct()
-        )
-        found = cut_lineage(sure.union(compared).distinct())
-        linked.append(found)
-        undecided = state.where(F.col("verdict") == "open").join(found, ["acell", "bcell"], "left_anti")
-        if undecided.isEmpty():
-            return reduce(DataFrame.union, linked).distinct()
-        level += 1
-        halves = boxes(level).select("cell", "part", "lo", "hi", "n").withColumn(
-            "parent", F.transform("part", lambda c: F.floor(c / F.lit(2)))
-        )
-        pending = (
-            undecided.select("acell", "bcell", F.col("apart").alias("aparent"), F.col("bpart").alias("bparent"))
-            .join(_named(halves, "a"), ["acell", "aparent"])
-            .join(_named(halves, "b"), ["bcell", "bparent"])
-            .drop("aparent", "bparent")
-        )
+        column = np.where(near, label[:, None], high).min(0, initial=high)
+        new = np.minimum(label, np.where(near, column[None, :], high).min(1, initial=high))
+        if (new == label).all():
+            return label, column
+        label = new
+
+
+def _linking(eps: float, metric: str):
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
+        found = []
+
+        def add(u: np.ndarray, v: np.ndarray, border: bool) -> None:
+            found.append(pd.DataFrame({"u": u, "v": v, "border": border}))
+
+        add(np.zeros(0, np.int64), np.zeros(0, np.int64), False)
+        for (x, a, p), (y, b, q), same in _pairs_of(frame, ["x", "node", "core"]):
+            p, q, near = p.astype(bool), q.astype(bool), _within(x, y, eps, metric)
+            rows, columns = _grouped(near[np.ix_(p, q)])
+            linked = columns < p.sum()
+            heads = np.full(p.sum() + 1, np.iinfo(np.int64).max)
+            np.minimum.at(heads, rows, a[p])
+            np.minimum.at(heads, columns[linked], b[q][linked])
+            ours, theirs = heads[rows], np.where(linked, heads[columns], b[q])
+            add(a[p][a[p] != ours], ours[a[p] != ours], False)
+            if not same:
+                add(b[q][b[q] != theirs], theirs[b[q] != theirs], False)
+            for hits, edge, head in ((near[np.ix_(~p, q)], a[~p], theirs), (near[np.ix_(p, ~q)].T, b[~q], ours)):
+                i, j = np.nonzero(hits)
+                if len(i):
+                    both = np.unique(np.stack([edge[i], head[j]], 1), axis=0)
+                    add(both[:, 0], both[:, 1], True)
+        return pd.concat(found)
+
+    return link
+
+
+def _links_of_whole(near: DataFrame, points: DataFrame) -> list[DataFrame]:
+    """In a cell that lies whole within reach of core points, all core points hang together and all others are borders."""
+    inside = points.select("node", "core", F.explode(ancestors(F.col("cell"))).alias("cell")).join(near.select("cell").distinct(), "cell")
+    heads = inside.where("core").groupBy("cell").agg(F.min("node").alias("head"))
+    reached = near.join(heads.select(F.col("cell").alias("other"), F.col("head").alias("v")), "other").select("cell", "v").distinct()
+    bonds = inside.where("core").join(reached.select("cell").distinct(), "cell").join(heads, "cell").select(F.col("node").alias("u"), F.col("head").alias("v"))
+    across = reached.join(heads, "cell").select(F.col("head").alias("u"), "v")
+    edges = inside.where("not core").join(reached, "cell").select(F.col("node").alias("u"), "v")
+    return [bonds.union(across).where("u <> v").withColumn("border", F.lit(False)), edges.withColumn("border", F.lit(True))]
 
 
 def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_samples: int,
-           metric: str = "euclidean") -> DataFrame:
+           metric: str = "euclidean", leaf: int = LEAF) -> DataFrame:
     """(key, cluster): clusters numbered from 0 by their lowest core key, -1 for noise.
 
     A point counts itself; a border point joins the lowest-numbered cluster in reach.
     ``key`` is a unique number.
     """
-    d = len(features)
-    if d > MAX_DIMENSIONS:
-        raise ValueError(f"a grid over more than {MAX_DIMENSIONS} dimensions is not selective; reduce the features first")
-    splits = d if metric == "manhattan" else math.ceil(math.sqrt(d))
-    side = eps / splits
-    # equal points become one weighted point
     source = df.select(F.col(key).cast("long").alias("key"), F.array(*[F.col(f).cast("double") + 0.0 for f in features]).alias("x"))
-    points = cut_lineage(
-        source.groupBy("x").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("w")).withColumn("cell", _grid(side, d))
-    )
-    cells = cut_lineage(points.groupBy("cell").agg(*_box(d)))
-    # zones are eps wide, so neighbours are in adjacent zones; a zone has at most splits ** d cells
-    zoned = cells.withColumn("zone", F.transform("cell", lambda c: F.floor(c / F.lit(splits))))
-    around = F.explode(
-        F.array(*[F.array(*[F.col("zone")[i] + s for i, s in enumerate(step)]) for step in itertools.product((-1, 0, 1), repeat=d)])
-    )
-    near = cut_lineage(
-        _named(zoned.withColumn("reach", around), "a")
-        .join(_named(zoned, "b"), F.col("areach") == F.col("bzone"))
-        .where((F.col("acell") != F.col("bcell")) & (_least_gap("alo", "ahi", "blo", "bhi", d, metric) <= eps))
-        .select("acell", "bcell", "blo", "bhi", "bweight", F.col("aweight") < min_samples)
-        .toDF("acell", "bcell", "blo", "bhi", "bweight", "thin")
-    )
-
-    thin = points.join(cells.where(F.col("weight") < min_samples).select("cell", "weight"), "cell")
-    seen = thin.join(
-        near.where("thin").select(F.col("acell").alias("cell"), "bcell", "blo", "bhi", "bweight"), "cell"
-    ).withColumn("least", _least_gap("x", "x", "blo", "bhi", d, metric)).withColumn(
-        "most", _largest_gap("x", "x", "blo", "bhi", d, metric)
-    )
-    whole = seen.where(F.col("most") <= eps).select("node", F.col("bweight").alias("c"))
-    partly = (
-        seen.where((F.col("least") <= eps) & (F.col("most") > eps))
-        .select("node", "x", "bcell")
-        .join(points.select(F.col("cell").alias("bcell"), F.col("x").alias("bx"), F.col("w").alias("c")), "bcell")
-        .where(_distance("x", "bx", d, metric) <= eps)
-        .select("node", "c")
-    )
-    reached = thin.select("node", F.col("weight").alias("c")).union(whole).union(partly)
-    thin_core = reached.groupBy("node").agg(F.sum("c").alias("c")).where(F.col("c") >= min_samples).select("node")
-    thick = points.join(cells.where(F.col("weight") >= min_samples).select("cell"), "cell", "left_semi")
-    core = cut_lineage(thick.unionByName(points.join(thin_core, "node", "left_semi").select(*points.columns)))
-    heads = cut_lineage(core.groupBy("cell").agg(F.min("node").alias("head"), *_box(d)))
-
-    candidates = near.select("acell", "bcell").join(heads.select(F.col("cell").alias("acell")), "acell", "left_semi").join(
-        heads.select(F.col("cell").alias("bcell")), "bcell", "left_semi"
-    )
-    links = _cell_links(core, candidates.select("acell", "bcell"), eps, side, d, metric)
-    head = heads.select("cell", "head")
-    edges = links.join(_named(head, "a"), "acell").join(_named(head, "b"), "bcell").select(
-        F.col("ahead").alias("u"), F.col("bhead").alias("v")
-    )
-    roots = components(edges)
-    rooted = heads.join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn(
-        "root", F.coalesce("root", "head")
-    )
-    numbered = running(rooted.select("root").distinct(), "root")
-    labels = cut_lineage(
-        rooted.join(numbered, "root").select("cell", "lo", "hi", (F.col("position") - 1).cast("int").alias("label"))
-    )
-
-    core_labels = core.select("node", "cell").join(labels.select("cell", "label"), "cell").select("node", "label")
-    rest = points.join(core.select("node"), "node", "left_anti")
-    own = rest.join(labels.select("cell", "label"), "cell").select("node", "label")
-    close = (
-        rest.join(near.select(F.col("acell").alias("cell"), "bcell"), "cell")
-        .join(_named(labels, "b").select("bcell", "blo", "bhi", "blabel"), "bcell")
-        .withColumn("least", _least_gap("x", "x", "blo", "bhi", d, metric))
-        .withColumn("most", _largest_gap("x", "x", "blo", "bhi", d, metric))
-    )
-    sure = close.where(F.col("most") <= eps).select("node", F.col("blabel").alias("label"))
-    checked = (
-        close.where((F.col("least") <= eps) & (F.col("most") > eps))
-        .select("node", "x", "bcell", "blabel")
-        .join(core.select(F.col("cell").alias("bcell"), F.col("x").alias("bx")), "bcell")
-        .where(_distance("x", "bx", d, metric) <= eps)
-        .select("node", F.col("blabel").alias("label"))
-    )
-    border = own.union(sure).union(checked).groupBy("node").agg(F.min("label").alias("label"))
-    by_point = points.select("x", "node").join(core_labels.union(border), "node", "left").select("x", "label")
+    tree = cells.build(source.groupBy("x").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("w")), len(features), leaf, weight="w")
+    pairs = close_pairs(tree, eps, metric)
+    whole, direct = pairs.where("whole").drop("whole"), pairs.where("not whole").drop("whole")
+    any_whole, any_direct = pairs.agg(F.count_if("whole") > 0, F.count_if(~F.col("whole")) > 0).first()
+
+    points = tree.points.withColumns({"held": F.lit(0).cast("long"), "c": F.lit(0).cast("long")})
+    if any_whole:
+        held = both_ways(whole).groupBy(F.col("a").alias("node")).agg(F.sum("b_weight").alias("held"))
+        around = tree.leaves().select("cell", F.explode(ancestors(F.col("cell"))).alias("node"))
+        sure = cut_lineage(around.join(held, "node", "left").groupBy("cell").agg(F.coalesce(F.sum("held"), F.lit(0)).alias("held")))
+        points = points.drop("held").join(sure, "cell")
+    if any_direct:
+        asked = direct
+        if any_whole:
+            unsure = sure.where(F.col("held") < min_samples).select("cell")
+            asked = direct.join(unsure.select(F.col("cell").alias("a"), F.lit(1).alias("one")), "a", "left").join(
+                unsure.select(F.col("cell").alias("b"), F.lit(1).alias("two")), "b", "left").where("one is not null or two is not null")
+        counted = _dealt(cut_lineage(asked.select("a", "b")), tree.points, ["node", "x", "w"]).groupBy("task").applyInPandas(_counting(eps, metric), "node long, c long")
+        points = points.drop("c").join(counted.groupBy("node").agg(F.sum("c").alias("c")), "node", "left")
+    points = cut_lineage(points.select(
+        "node", "x", "w", "cell", (F.col("held") + F.coalesce("c", F.lit(0)) >= min_samples).alias("core")))
+
+    found = []
+    if any_direct:
+        found.append(_dealt(direct.select("a", "b"), points, ["node", "x", "core"]).groupBy("task").applyInPandas(
+            _linking(eps, metric), "u long, v long, border boolean"))
+    if any_whole:
+        found += _links_of_whole(both_ways(whole).select(F.col("a").alias("cell"), F.col("b").alias("other")), points)
+    found = cut_lineage(reduce(DataFrame.unionByName, found))
+
+    roots = components(found.where("not border").select("u", "v"))
+    core = points.where("core").select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    core = cut_lineage(core)
+    numbered = running(core.select("root").distinct(), "root", tie=["root"])
+    labels = core.join(numbered, "root").select("node", (F.col("position") - 1).cast("int").alias("label"))
+    border = found.where("border").join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("label"))
+    by_point = points.select("x", "node").join(labels.unionByName(border), "node", "left").select("x", "label")
     return source.join(by_point, "x").select(F.col("key").alias(key), F.coalesce("label", F.lit(-1)).alias("cluster"))

@@ -1,4 +1,8 @@
-"""k-nearest-neighbour regression and classification."""
+"""k-nearest-neighbour regression and classification.
+
+The training rows form a tree of cells. A row first meets the cell near it; its k-th best distance there bounds the search, and only rows
+whose bound reaches into other cells' boxes go on, to just those cells. Results are exact.
+"""
 
 from __future__ import annotations
 
@@ -8,47 +12,82 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from salescope.operators.tiles import TILE_ROWS, tiled
+from salescope.operators import cells
+from salescope.session import cut_lineage
 
+#: Equal training points are dealt to so many parts before the ``k`` of lowest key are taken.
+PARTS = 64
+#: Training rows in a cell that is not cut further.
+LEAF = cells.LEAF
+#: A little more than a computed bound, as distances are rounded.
+SLACK = 1 + 1e-9
+BLOCK = 1 << 20
+
+
+def lowest_keys(train: DataFrame, k: int) -> DataFrame:
+    """Of equal points the ``k`` of lowest key: others can't be among the nearest of any row."""
+    part = F.pmod(F.xxhash64("train_key"), F.lit(PARTS))
+    first = W.partitionBy("x", part).orderBy("train_key")
+    few = train.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= k)
+    return few.withColumn("_k", F.row_number().over(W.partitionBy("x").orderBy("train_key"))).where(F.col("_k") <= k).drop("_k")
 
-def nearest(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, key: str, k: int,
-            p: int = 2, tile: int = TILE_ROWS) -> DataFrame:
-    """The ``k`` closest training rows of each test row (ties: lowest training key), exact.
 
-    Each tile keeps its own ``k`` best per test row; the overall best are picked from those.
-    """
-    cols = list(features)
+def _closest(k: int, p: int):
+    """Per part of a cell: the ``k`` best of each row within its ``reach``."""
 
-    def closest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"key": a["key"][:0], "train_key": b["train_key"][:0], "distance": np.zeros(0), "value": np.zeros(0)})
+        if not len(a) or not len(b):
+            return empty
         b = b.sort_values("train_key", kind="stable")
-        x, y = a[cols].to_numpy(float), b[cols].to_numpy(float)
-        near = min(k, len(b))
-        kept = []
-        for start in range(0, len(x), 256):
-            gap = np.abs(x[start : start + 256, None, :] - y[None, :, :])
-            distance = gap.sum(axis=2) if p == 1 else np.sqrt((gap**2).sum(axis=2))
+        x, y = np.stack(a["x"].to_numpy()), np.stack(b["x"].to_numpy())
+        near, kept, step = min(k, len(b)), [], max(1, BLOCK // (len(b) * x.shape[1]))
+        for start in range(0, len(x), step):
+            away = np.abs(x[start : start + step, None, :] - y[None, :, :])
+            distance = away.sum(axis=2) if p == 1 else np.sqrt((away**2).sum(axis=2))
             order = np.argsort(distance, axis=1, kind="stable")[:, :near]
-            rows = np.repeat(np.arange(len(order)), near)
-            kept.append(
-                pd.DataFrame(
-                    {
-                        "key": a["key"].to_numpy()[start + rows],
-                        "train_key": b["train_key"].to_numpy()[order.ravel()],
-                        "distance": np.take_along_axis(distance, order, axis=1).ravel(),
-                        "value": b["value"].to_numpy()[order.ravel()],
-                    }
-                )
-            )
-        return pd.concat(kept) if kept else pd.DataFrame(columns=["key", "train_key", "distance", "value"])
-
-    left = test.select(F.col(key).alias("key"), *[F.col(c).cast("double").alias(c) for c in cols])
-    right = train.select(
-        F.col(key).alias("train_key"), F.col(target).cast("double").alias("value"),
-        *[F.col(c).cast("double").alias(c) for c in cols],
-    )
-    kinds = dict(test.select(key).dtypes)[key]
-    found = tiled(left, right, "key", "train_key", closest,
-                  f"key {kinds}, train_key {kinds}, distance double, value double", tile)
+            best = np.take_along_axis(distance, order, axis=1)
+            inside = best <= a["reach"].to_numpy()[start : start + step, None]
+            rows, columns = np.nonzero(inside)
+            kept.append(pd.DataFrame({
+                "key": a["key"].to_numpy()[start + rows], "train_key": b["train_key"].to_numpy()[order[rows, columns]],
+                "distance": best[rows, columns], "value": b["value"].to_numpy()[order[rows, columns]]}))
+        return pd.concat(kept)
+
+    return compare
+
+
+def search(visits: DataFrame, points: DataFrame, k: int, p: int) -> DataFrame:
+    """The ``k`` best in its cell of each visit (key, x, cell, reach), no farther than its reach."""
+    kinds = dict(visits.dtypes)["key"], dict(points.dtypes)["train_key"]
+    a, b = cells.meet(visits, points)
+    return a.groupBy("cell", "part").cogroup(b.groupBy("cell", "part")).applyInPandas(
+        _closest(k, p), f"key {kinds[0]}, train_key {kinds[1]}, distance double, value double")
+
+
+def further(test: DataFrame, first: DataFrame, tree: cells.Tree, k: int, metric: str) -> DataFrame:
+    """The rows whose k-th best distance so far reaches other cells, one for each such cell."""
+    bound = first.groupBy("key").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("found"))
+    reach = F.least("reach", F.when(F.col("found") >= k, F.col("far")).otherwise(F.col("reach"))) * SLACK
+    bounded = test.withColumnRenamed("cell", "seen").join(bound, "key", "left").select("key", "x", reach.alias("reach"), "seen")
+    limit = F.col("reach") if metric == "manhattan" else F.col("reach") * F.col("reach") * SLACK
+    return tree.within(bounded, limit, metric).where(F.col("cell") != F.col("seen")).drop("seen")
+
+
+def nearest(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, key: str, k: int,
+            p: int = 2, leaf: int | None = None) -> DataFrame:
+    """The ``k`` closest training rows of each test row (ties: lowest training key), exact."""
+    metric = "manhattan" if p == 1 else "euclidean"
+    point = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+    right = train.select(F.col(key).alias("train_key"), F.col(target).cast("double").alias("value"), point)
+    tree = cells.build(lowest_keys(right, k), len(features), max(leaf or LEAF, 4 * k))
+    left = tree.home(test.select(F.col(key).alias("key"), point), metric, k).withColumn("reach", F.col("reach") * SLACK)
+    if tree.depth:
+        left = cut_lineage(left)
+    found = search(left, tree.points, k, p)
+    if tree.depth:  # with a single cell all is decided
+        found = cut_lineage(found)
+        found = found.unionByName(search(cut_lineage(further(left, found, tree, k, metric)), tree.points, k, p))
     rank = F.row_number().over(W.partitionBy("key").orderBy("distance", "train_key"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 

@@ -155,6 +155,33 @@ def product_silhouette(spark, d):
     return rounded(clusters.silhouette(cut_lineage(labelled_products(spark, d)), "id", FEATURES), 8)
 
 
+def squared_silhouette_sql(columns: list[str]) -> str:
+    """All squared distances, averaged by cluster."""
+    gap = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in columns)
+    return f"""
+each AS (SELECT a.id, a.cluster, b.cluster AS other, sum({gap}) AS total, count(*) AS n FROM w a, w b GROUP BY 1, 2, 3),
+width AS (SELECT id, max(CASE WHEN cluster = other AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN cluster <> other THEN total / n END) AS b FROM each GROUP BY 1)"""
+
+
+@query(
+    "item_silhouette_squared",
+    sql(PART_POINTS, scale_sql(PART_FEATURES, keep="id, cluster"), "w AS (SELECT * FROM z WHERE cluster <> -1)", squared_silhouette_sql(PART_FEATURES),
+        select=f"SELECT {R('avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)', 8)} AS silhouette FROM width"),
+)
+def item_silhouette_squared(spark, d):
+    return rounded(clusters.silhouette_squared(part_points(spark, d), PART_FEATURES), 8)
+
+
+@query(
+    "product_silhouette_squared",
+    sql(SALES, IDENTITY, POINTS, scale_sql(FEATURES), dbscan_sql(FEATURES, 0.5, 2, "euclidean"), "w AS (SELECT * FROM labelled WHERE cluster <> -1)",
+        squared_silhouette_sql(FEATURES), recursive=True,
+        select=f"SELECT {R('avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / greatest(a, b), 0) END)', 8)} AS silhouette FROM width"),
+)
+def product_silhouette_squared(spark, d):
+    return rounded(clusters.silhouette_squared(cut_lineage(labelled_products(spark, d)), FEATURES), 8)
+
+
 def centroid_sql(columns: list[str]) -> str:
     means = ", ".join(f"avg({c}) AS m_{c}" for c in columns)
     gap = " + ".join(f"(w.{c} - m.m_{c}) * (w.{c} - m.m_{c})" for c in columns)
@@ -211,23 +238,60 @@ def mixture_items(spark, d):
     return points.join(labels, "id").groupBy("cluster").agg(F.count(F.lit(1)).alias("items"), r(F.avg("size"), 6).alias("size"))
 
 
-GRID = {
-    "KMeans": {"n_clusters": [3, 5], "init": ["k-means||", "random"], "n_init": [2]},
-    "DBSCAN": {"eps": [0.5], "min_samples": [2], "metric": ["euclidean", "manhattan"]},
-    "Hierarchical": {"n_clusters": [3, 5]},
-    "GMM": {"n_components": [3]},
-}
-
-
 @query("cluster_grid")
 def cluster_grid(spark, d):
-    return clusters.cluster_grid(scaled_products(spark, d), "id", FEATURES, GRID)
+    """All 32 configurations over the products."""
+    return clusters.cluster_grid(scaled_products(spark, d), "id", FEATURES)
 
 
 @query("cluster_champion")
 def cluster_champion_query(spark, d):
-    small = {"KMeans": {"n_clusters": [3, 5], "init": ["k-means||"], "n_init": [1]}, "Hierarchical": {"n_clusters": [3, 5]}}
-    return cluster_champion(clusters.cluster_grid(part_points(spark, d), "id", PART_FEATURES, small)).drop("seconds")
+    """The best of all 32 configurations over the items."""
+    return cluster_champion(clusters.cluster_grid(part_points(spark, d), "id", PART_FEATURES)).drop("seconds")
+
+
+SIZE_CUTS = """
+v AS (SELECT CAST(p_size AS DOUBLE) AS x, count(*) AS n FROM part GROUP BY 1),
+c AS (SELECT x, sum(n) OVER o AS n, sum(n * x) OVER o AS s, sum(n * x * x) OVER o AS q FROM v WINDOW o AS (ORDER BY x)),
+w AS (SELECT max(n) AS n, max(s) AS s, max(q) AS q FROM c),
+cuts AS (SELECT a.x AS a, b.x AS b, a.n AS n1, b.n - a.n AS n2, w.n - b.n AS n3, a.s AS s1, b.s - a.s AS s2, w.s - b.s AS s3,
+           w.q - a.s * a.s / a.n - (b.s - a.s) * (b.s - a.s) / (b.n - a.n) - (w.s - b.s) * (w.s - b.s) / (w.n - b.n) AS inertia
+         FROM c a JOIN c b ON a.x < b.x CROSS JOIN w WHERE b.n < w.n),
+best AS (SELECT * FROM cuts ORDER BY inertia, a, b LIMIT 1)"""
+
+
+@query(
+    "kmeans_sizes",
+    sql(SIZE_CUTS, select=f"""
+        SELECT unnest([0, 1, 2]) AS cluster, CAST(unnest([n1, n2, n3]) AS BIGINT) AS items, round(unnest([s1 / n1, s2 / n2, s3 / n3]), 6) AS middle,
+          {R('inertia', 4)} AS inertia FROM best"""),
+)
+def kmeans_sizes(spark, d):
+    """Three clusters of item sizes, the best of 20 seeds, next to the best of all ways to cut the sizes twice."""
+    sizes = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"))
+    labelled = cut_lineage(sizes.join(clusters.kmeans(sizes, "p_partkey", ["size"], 3, n_init=20), "p_partkey"))
+    middle = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("items"), F.avg("size").alias("middle"), (F.var_pop("size") * F.count(F.lit(1))).alias("within"))
+    whole = middle.agg(F.sum("within")).scalar()
+    return middle.select("cluster", "items", r("middle").alias("middle"), r(whole, 4).alias("inertia"))
+
+
+@query(
+    "mixture_of_one",
+    sql(PART_POINTS, scale_sql(PART_FEATURES, keep="id"), select="SELECT " + ", ".join(
+        [f"{R(f'avg({c})')} AS mean_{c}" for c in PART_FEATURES]
+        + [f"{R(f'covar_pop({a}, {b}) + ' + ('0.000001' if a == b else '0.0'), 5)} AS cov_{a}_{b}" for i, a in enumerate(PART_FEATURES) for b in PART_FEATURES[i:]]
+        + [f"{R('0.0')} AS tied_gap"]) + " FROM z"),
+)
+def mixture_of_one(spark, d):
+    """A mixture of one component has the mean and covariance of the rows, tied or not."""
+    data = clusters.points(part_points(spark, d), "id", PART_FEATURES)
+    (full, _), (tied, _) = clusters.mixtures(data, PART_FEATURES, [clusters.Shape(1, False, "random"), clusters.Shape(1, True, "kmeans")])
+    n = len(PART_FEATURES)
+    row = [float(m) for m in full.means[0]] + [float(full.covariances[0][i][j]) for i in range(n) for j in range(i, n)]
+    names = [f"mean_{c}" for c in PART_FEATURES] + [f"cov_{a}_{b}" for i, a in enumerate(PART_FEATURES) for b in PART_FEATURES[i:]]
+    gap = float(abs(full.covariances - tied.covariances).max() + abs(full.means - tied.means).max())
+    made = spark.createDataFrame([(*row, gap)], ", ".join(f"{c} double" for c in [*names, "tied_gap"]))
+    return made.select(*[r(F.col(c) + 0.0, 5 if c.startswith("cov") else 6).alias(c) for c in [*names, "tied_gap"]])
 
 
 @query("cluster_bundles")

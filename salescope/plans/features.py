@@ -289,7 +289,7 @@ def ingredient_flags(spark, d):
         FROM t GROUP BY 1, 2, 3, 4"""),
 )
 def feature_chain(spark, d):
-    full = add_all_features(sales(spark, d), items.levels(table(spark, d, "part"), "p_type"))
+    full = add_all_features(sales(spark, d), items.levels(table(spark, d, "part"), "p_type"), sales(spark, d, "unit_price"))
     return full.groupBy("season", "meal_period", "price_bucket", "is_weekend").agg(
         F.count(F.lit(1)).alias("lines"), r(F.sum("total_price"), 2).alias("revenue"),
         F.sum("size_numeric").cast("long").alias("size_sum"), F.sum("category_PROMO").alias("promo_lines"),

@@ -496,17 +496,6 @@ def revenue_data(spark, d):
     return fixed_and_spread(models.revenue_features(sales(spark, d)))
 
 
-@query("revenue_linear_model")
-def revenue_linear_model(spark, d):
-    """Line revenue from leak-free features: one-hot in a sparse pipeline, one pass of normal equations."""
-    data = revenue_data(spark, d)
-    pipeline = models.assemble(models.REVENUE_NUMERIC, models.REVENUE_CATEGORIES)
-    fitted = models.Pipeline(stages=[*pipeline.getStages(), models.regressor("LinearRegression")]).fit(
-        data.where(F.col("split") == "train")
-    )
-    return metrics.regression_metrics(models.score(fitted, data))
-
-
 @query("revenue_boosted_trees")
 def revenue_boosted_trees(spark, d):
     data = revenue_data(spark, d)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salescope.learn.runs import cluster_champion
-from salescope.operators import clusters, density, neighbours, tiles
+from salescope.operators import cells, clusters, density, neighbours, tiles
 
 
 def frame(spark, x, **more):
@@ -46,21 +46,45 @@ def test_dbscan_border_noise_and_blobs(spark):
     assert list(got) == [0, 0, 0, 0, 1, 1, 1, -1]
 
 
-@pytest.mark.parametrize("n, d, eps, min_samples, metric, direct", [
-    (250, 2, 0.15, 4, "euclidean", 1024),
-    (250, 3, 0.4, 5, "manhattan", 1024),
-    # tiny direct limit: cell pairs are decided by splitting boxes; a third of all points is one crowded spot
-    (600, 2, 0.08, 6, "euclidean", 1),
+@pytest.mark.parametrize("n, d, eps, min_samples, metric, leaf", [
+    (250, 2, 0.15, 4, "euclidean", 512),
+    (250, 3, 0.4, 5, "manhattan", 16),
+    # tiny leaves: most pairs are decided by boxes; a third of all points is one crowded spot
+    (600, 2, 0.08, 6, "euclidean", 4),
+    (400, 8, 1.2, 5, "euclidean", 20),
 ])
-def test_dbscan_equals_brute_force(spark, monkeypatch, n, d, eps, min_samples, metric, direct):
-    monkeypatch.setattr(density, "DIRECT_PAIRS", direct)
+def test_dbscan_equals_brute_force(spark, n, d, eps, min_samples, metric, leaf):
     rng = np.random.default_rng(n + d)
     x = np.round(rng.normal(size=(n, d)) * (rng.random((n, 1)) + 0.2), 2)
     x[: n // 3] = np.round(x[: n // 3] * 0.03 + 1, 3)
-    got = labels_of(density.dbscan(frame(spark, x), "id", names(x), eps, min_samples, metric))
+    got = labels_of(density.dbscan(frame(spark, x), "id", names(x), eps, min_samples, metric, leaf))
     assert np.array_equal(got, brute_dbscan(x, eps, min_samples, metric))
 
 
+def test_dbscan_of_a_crowd_next_to_thin_places(spark):
+    """1e5 points in one spot of eight dimensions, a thin chain that starts in it, and noise: decided by boxes, not by pairs."""
+    rng = np.random.default_rng(0)
+    crowd = rng.normal(size=(100_000, 8)) * 0.01
+    chain = np.zeros((20, 8))
+    chain[:, 0] = 0.2 + 0.3 * np.arange(20)
+    x = np.concatenate([crowd, chain, np.eye(8) * 50])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names(x)).assign(id=range(len(x))))
+    got = labels_of(density.dbscan(df, "id", names(x), 0.5, 3))
+    assert (got[:100_020] == 0).all() and (got[100_020:] == -1).all()
+
+
+def test_pairs_of_cells_stay_few_in_a_crowd(spark):
+    rng = np.random.default_rng(1)
+    counts = []
+    for n in (1000, 4000):
+        x = rng.normal(size=(n, 2)) * 0.01
+        points = frame(spark, x).select(F.array(*names(x)).alias("x"), F.col("id").alias("node"), F.lit(1).alias("w"))
+        tree = cells.build(points, 2, 50, weight="w")
+        assert tree.depth > 0 and tree.points.count() == n
+        counts.append(density.close_pairs(tree, 0.5, "euclidean").count())
+    assert counts == [1, 1]
+
+
 def test_all_noise_has_no_score(spark):
     x = np.array([[0.0, 0.0], [10.0, 10.0], [20.0, 20.0]])
     df = frame(spark, x)
@@ -131,9 +155,9 @@ def test_bundles_need_two_items(spark):
     assert got[0]["recommendation"] == "Offer 2 of its items together"
 
 
-@pytest.mark.parametrize("p, weights, tile", [(2, "uniform", 4096), (1, "distance", 16)])
-def test_neighbours_match_brute_force(spark, monkeypatch, p, weights, tile):
-    monkeypatch.setattr(neighbours, "TILE_ROWS", tile)
+@pytest.mark.parametrize("p, weights, leaf", [(2, "uniform", 4096), (1, "distance", 6), (2, "distance", 6)])
+def test_neighbours_match_brute_force(spark, monkeypatch, p, weights, leaf):
+    monkeypatch.setattr(neighbours, "LEAF", leaf)
     rng = np.random.default_rng(4)
     x = rng.integers(0, 6, size=(80, 3)).astype(float)
     df = frame(spark, x, y=rng.random(80))
@@ -154,6 +178,53 @@ def test_neighbours_match_brute_force(spark, monkeypatch, p, weights, tile):
     assert got == pytest.approx(np.array(want))
 
 
+@pytest.mark.parametrize("p", [1, 2])
+def test_rows_of_a_neighbour_search_grow_with_the_rows(spark, p):
+    """Each row visits about as many cells whatever the number of rows."""
+    rng, visits = np.random.default_rng(7), []
+    metric = "manhattan" if p == 1 else "euclidean"
+    for n in (1500, 3000, 6000):
+        x = rng.random((n, 2))
+        points = frame(spark, x).select(F.array(*names(x)).alias("x"), F.col("id").alias("train_key"), F.lit(0.0).alias("value"))
+        tree = cells.build(points, 2, 60)
+        test = tree.home(frame(spark, x).select(F.col("id").alias("key"), F.array(*names(x)).alias("x")), metric, 3)
+        more = neighbours.further(test, neighbours.search(test, tree.points, 3, p), tree, 3, metric)
+        visits.append(1 + more.count() / n)
+    assert max(visits) < 6 and visits[2] <= 1.1 * visits[0]
+
+
+def test_far_and_crowded_neighbours(spark):
+    """Rows far outside, equal points (lowest keys win) and cells with fewer points than asked for."""
+    x = np.concatenate([np.zeros((300, 2)), np.random.default_rng(2).random((200, 2)), [[50.0, 50.0]]])
+    df = frame(spark, x, y=np.arange(501.0))
+    test = spark.createDataFrame([(1000, 0.0, 0.0), (1001, 60.0, 60.0), (1002, -30.0, 0.5)], "id long, f0 double, f1 double")
+    got = neighbours.nearest(df, test, names(x), "y", "id", 4, leaf=20)
+    found = got.toPandas().sort_values("rank").groupby("key")["train_key"].apply(list)
+    for key, point in ((1000, [0, 0]), (1001, [60, 60]), (1002, [-30, 0.5])):
+        dist = np.sqrt(((x - np.array(point)) ** 2).sum(1))
+        assert found[key] == np.lexsort((np.arange(len(x)), dist))[:4].tolist()
+
+
+def test_squared_silhouette_from_moments(spark):
+    rng = np.random.default_rng(3)
+    x, c = rng.normal(size=(80, 3)), np.arange(80) % 5 - 1
+    c[5] = 7  # a cluster of one point
+    df = frame(spark, x, cluster=c).withColumn("cluster", F.col("cluster").cast("int"))
+    y, k = x[c != -1], c[c != -1]
+    dist = ((y[:, None] - y[None]) ** 2).sum(2)
+    widths = []
+    for i in range(len(y)):
+        if (k == k[i]).sum() == 1:
+            widths.append(0.0)
+            continue
+        a = dist[i, k == k[i]].sum() / ((k == k[i]).sum() - 1)
+        b = min(dist[i, k == j].mean() for j in set(k) - {k[i]})
+        widths.append((b - a) / max(a, b))
+    assert clusters.silhouette_squared(df, names(x)).first()[0] == pytest.approx(np.mean(widths))
+    assert clusters.silhouette_squared(df.where("cluster <= 0"), names(x)).first()[0] == -1.0
+    assert clusters.scores(df, "id", names(x))[0] != clusters.scores(df, "id", names(x), exact=True)[0]
+
+
 def test_tiles_cover_every_pair_once(spark):
     left = spark.range(23).withColumnRenamed("id", "a")
     right = spark.range(31).withColumnRenamed("id", "b")

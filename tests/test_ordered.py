@@ -32,6 +32,55 @@ def test_quantiles_match_numpy(spark):
         assert keyed[g][0] == pytest.approx(np.median(values[np.arange(len(values)) % 3 == g]))
 
 
+def test_running_cuts_crowded_and_equal_values(spark):
+    """1e5 values of one old logarithmic bucket, and 1e5 equal values: both are cut into ranges of about one size."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for value, tie in ((1000 + F.col("id") / 1e9, ["id"]), (F.lit(5.0), ["id"]), (F.lit(5.0), [])):
+            df = spark.range(100_000).select("id", value.cast("double").alias("v"), F.lit(2).alias("w"))
+            assert df.select(ordered.value_bucket(F.col("v"))).distinct().count() == 1
+            order = [F.col("v").desc(), *[F.col(c) for c in tie]]
+            got = ordered.running(df, "v", ["w"], descending=True, tie=tie)
+            assert got.where("running_w <> 2 * position").count() == 0
+            assert got.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()[:] == (1, 100_000, 100_000)
+            if tie:
+                sizes = ordered.sorted_ranges(df, order).groupBy("_range").count().toPandas()["count"]
+                assert len(sizes) >= 3 and sizes.max() < 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_quantiles_split_crowded_buckets(spark, monkeypatch):
+    """Hit buckets above the limit are cut again and again, down to single values; nulls, infinities and equal values included."""
+    monkeypatch.setattr(ordered, "ENOUGH", 20)
+    monkeypatch.setattr(ordered, "PIECES", 4)
+    rng = np.random.default_rng(5)
+    values = np.concatenate([1000 + rng.random(3000) / 1e6, np.full(500, 1000.0), 2.0 ** -rng.integers(0, 300, 400), -rng.random(300)])
+    ps = [0, 0.01, 0.2, 0.5, 0.77, 1]
+    df = spark.createDataFrame([(float(v), f"g{i % 2}") for i, v in enumerate(values)] + [(None, "g0")], "v double, g string")
+    assert ordered.quantiles(df, "v", ps).first()["q"] == pytest.approx(list(np.quantile(values, ps)), rel=1e-12)
+    keyed = {r["g"]: r["q"] for r in ordered.quantiles(df, "v", ps, keys=["g"]).collect()}
+    for g in range(2):
+        assert keyed[f"g{g}"] == pytest.approx(list(np.quantile(values[g::2], ps)), rel=1e-12)
+    ends = spark.createDataFrame([(x,) for x in (float("-inf"), 1.0, float("inf"))], "v double")
+    assert ordered.quantiles(ends, "v", [0, 0.5, 1]).first()["q"] == [float("-inf"), 1.0, float("inf")]
+    assert ordered.quantiles(df.limit(0), "v", [0.5], keys=["g"]).count() == 0
+    assert ordered.quantiles(df.limit(0), "v", [0.5]).first()["q"] == [None]
+    wide = df.withColumn("u", -F.col("v"))
+    assert ordered.medians(wide, ["v", "u"]).first()[:] == pytest.approx((np.median(values), -np.median(values)))
+
+
+def test_quantiles_shuffle_no_distinct_values(spark, capsys):
+    """Values reach a shuffle only from the intervals that hold a rank."""
+    df = spark.range(200_000).select((F.col("id") * 1.0).alias("v"))
+    got = ordered.quantiles(df, "v", [0.5])
+    assert got.first()["q"] == [99_999.5]
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(lo" in plan and "hashpartitioning(v" not in plan
+
+
 def test_number_rows_counts_through_partitions(spark):
     df = spark.range(1000).repartition(7).withColumn("k", F.col("id") % 13)
     got = ordered.number_rows(df, [F.col("k"), F.col("id")]).orderBy("position").collect()
