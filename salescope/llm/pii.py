@@ -160,9 +160,9 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Every other column stays as it is; ``n_chars``, if there is one, follows the text.
     """
-    held = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "before-redaction")
-    found = find_personal_data(held.select(F.col("_row").alias("doc_id"), "text"))
-    found = found.where("size(base) + size(added) > 0").select(F.col("doc_id").alias("_row"), ordered(F.concat("base", "added")).alias("_spans"))
+    held = stored(docs.select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row")), "before-redaction")
+    found = find_personal_data(held.select(F.col("place").alias("doc_id"), F.col("row.text").alias("text")))
+    found = found.where("size(base) + size(added) > 0").select(F.col("doc_id").alias("place"), ordered(F.concat("base", "added")).alias("spans"))
 
     @F.pandas_udf("string")
     def hide(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -176,7 +176,9 @@ def redact(docs: DataFrame) -> DataFrame:
             out.append(text if not parts else "".join(parts) + text[at:])
         return pd.Series(out, dtype=object)
 
-    out = held.join(found, "_row", "left").withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(hide("text", "_spans")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    row, clean = F.col("row"), F.col("spans").isNull()
+    columns = {c: row[c] for c in docs.columns}
+    columns["text"] = F.when(clean, row["text"]).otherwise(hide(row["text"], F.col("spans")))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(clean, row["n_chars"]).otherwise(F.length(columns["text"])).cast(docs.schema["n_chars"].dataType)
+    return held.join(found, "place", "left").select(*[column.alias(c) for c, column in columns.items()])
