@@ -15,30 +15,30 @@ from salescope.llm.common import stored
 
 #: A document whose strongest language has less than this share is of no language.
 LEAST_SHARE = 0.4
-#: Near copies: sets of five-word shingles of a similarity of 0.8; candidates share a band and agree in 0.75 of 384 SimHash bits.
-SHINGLE, WORDS, AGREEMENT, SIMILARITY = 5, 6, 0.75, 0.8
+#: Near copies: SimHash of three-word shingles, linked at three or fewer differing bits.
+SHINGLE, RADIUS = 3, 3
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (3), learned from the labelled documents: those without a letter or a dominant language go."""
-    found = language.identify(docs.select("*", F.struct("*").alias("_row")).select("text", "_row"), docs)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("_row.*")
+    found = language.identify(docs.select("text", F.struct("*").alias("row")), docs)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash (2), pairs verified on their shingles: the document with the least id of each component stays (null ids last, then the first row)."""
-    held = stored(docs.withColumn("_place", F.monotonically_increasing_id()), "held")
-    ids = held.select("_place", F.col("doc_id").isNull().alias("_null"), "doc_id")
-    found = simhash.similar_documents(held.select(F.col("_place").alias("doc_id"), "text"), SHINGLE, WORDS, AGREEMENT, SIMILARITY)
-    found = found.select(F.col("doc_id").alias("_place"), "component_id").join(ids, "_place")
-    first = found.groupBy("component_id").agg(F.min(F.struct("_null", "doc_id", "_place")).alias("_first"))
-    return held.join(first.select("_first._place"), "_place", "left_semi").drop("_place")
+    """SimHash (2): the document with the least id of each component stays (null ids last, then the first row)."""
+    held = stored(docs.select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row")), "held")
+    found = simhash.near_duplicates(held.select(F.col("place").alias("doc_id"), F.col("row.text").alias("text")), SHINGLE, RADIUS)
+    ids = held.select("place", F.col("row.doc_id").isNull().alias("missing"), F.col("row.doc_id").alias("doc_id"))
+    placed = found.select(F.col("doc_id").alias("place"), "component_id").join(ids, "place")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("missing", "doc_id", "place")).alias("first"))
+    return held.join(first.select("first.place"), "place", "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Winnowing (5): documents that hold a window of a benchmark item go."""
-    found = winnowing.contamination(docs.select("*", F.struct("*").alias("_row")).select("text", "_row"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~F.col("contaminated")).select("_row.*")
+    found = winnowing.contamination(docs.select("text", F.struct("*").alias("row")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~F.col("contaminated")).select("row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
