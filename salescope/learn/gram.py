@@ -265,3 +265,29 @@ def linear_grid(data: DataFrame, design: Design, grid: Mapping[str, Mapping[str,
             rmse, r2 = row["model"].errors(at[split]) if split in at else (None, None)
             row.update({f"{split}_rmse": rmse, f"{split}_r2": r2, f"{split}_mae": float(wrong[split][k]) if split in wrong else None})
     return rows
+
+
+def typed(params: Mapping[str, str]) -> dict:
+    """Parameters of a stored run as numbers and truth values."""
+    named = {"True": True, "False": False}
+    return {k: named[v] if v in named else int(v) if v.lstrip("-").isdigit() else float(v) for k, v in params.items()}
+
+
+def export(spark, data: DataFrame, design: Design, kind: str, params: Mapping[str, str], path: str, label: str, name: str,
+           fitted_on: Sequence[str] = ("train", "val")) -> str:
+    """Fit a stored configuration on several splits together and write it as JSON with its inputs and test errors; returns ``path``.
+
+    The splits' matrices add up, so the fit reads the rows once and the absolute error once more.
+    """
+    from salescope.sources.files import save_json
+
+    at = matrices(data, design, label)
+    model = solve(sum(at[s] for s in fitted_on if s in at), kind, typed(params))
+    rmse, r2 = model.errors(at["test"])
+    mae = float(absolute_errors(data.where(F.col("split") == "test"), design, [model], label)["test"][0])
+    schema = ("run_name string, model_name string, params map<string,string>, label string, numeric array<string>, categories map<string,int>, "
+              "fitted_on array<string>, intercept double, weights array<double>, test struct<test_rmse:double,test_mae:double,test_r2:double>")
+    row = (name, kind, dict(params), label, list(design.numeric), dict(design.categories), list(fitted_on), model.intercept,
+           [float(w) for w in model.weights], (rmse, mae, r2))
+    save_json(spark.createDataFrame([row], schema), path)
+    return path

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from salescope.functions.times import add_cycles, flag
-from salescope.operators.ordered import number_rows
+from salescope.operators.ordered import number_rows, running
+from salescope.session import cut_lineage
 
 # Order of the demand model's inputs.
 DEMAND_FEATURES = [
@@ -138,26 +139,37 @@ def ordered_split(df: DataFrame, order: Sequence[Column], test: float = 0.2) ->
     return numbered.withColumn("split", F.when(F.col("_position") < first_test, "train").otherwise("test")).drop("_position")
 
 
-STRATUM_BITS = 12
+#: Rows of a label that are numbered in one task, or so.
+SLICE_ROWS = 1 << 16
+#: Labels with their allotment are broadcast up to so many, beyond that joined.
+FEW_LABELS = 1 << 14
+
+
+def allotted(counts: DataFrame, label: str, test: float) -> DataFrame:
+    """``counts`` (label, n) with ``_take``: ``ceil(test * all)`` rows dealt to the labels by largest remainder (ties: larger, then first label)."""
+    share = F.col("n") * F.lit(test)
+    parts = counts.withColumns({"_floor": F.floor(share), "_rest": F.round(share - F.floor(share), 9)})
+    left = parts.agg((F.ceil(F.sum("n") * F.lit(test)) - F.sum("_floor")).alias("left")).scalar()
+    ranked = running(parts.withColumn("_order", F.struct("_rest", "n")), "_order", descending=True, tie=[label], position="_place")
+    return ranked.select(label, "n", (F.col("_floor") + (F.col("_place") <= left).cast("long")).alias("_take"))
 
 
 def stratified_split(df: DataFrame, label: str, keys: Sequence[str], seed: int = 42, test: float = 0.2) -> DataFrame:
-    """Exactly ``ceil(test * n)`` rows of each label, lowest hash first, are the test side.
+    """Exactly ``ceil(test * n)`` rows of the table are the test side, each label's part in proportion, lowest hash first.
 
-    A label is cut into 4096 hash slices, so one label holding most rows is still numbered in parallel.
+    A label is cut into slices of about ``SLICE_ROWS`` rows by its own count, so one that holds most rows is numbered in parallel.
     """
-    tagged = df.withColumn("_h", row_spread(keys, seed)).withColumn("_slice", F.shiftright("_h", 32 - STRATUM_BITS))
+    counts = cut_lineage(allotted(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label, test))
+    known = counts.select(F.col(label).alias("_label"), F.ceil(F.col("n") / SLICE_ROWS).alias("_slices"), "_take")
+    known = F.broadcast(known) if counts.count() <= FEW_LABELS else known
+    tagged = df.withColumn("_h", row_spread(keys, seed)).join(known, F.col(label).eqNullSafe(F.col("_label")))
+    tagged = tagged.withColumn("_slice", F.floor(F.col("_h") * F.col("_slices") / F.lit(float(1 << 32))))
     sizes = tagged.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    per_label = W.partitionBy(label)
-    before = per_label.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(label).alias("_label"), F.col("_slice").alias("_s"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(per_label).alias("_total"),
-    )
-    inside = F.row_number().over(W.partitionBy(label, "_slice").orderBy("_h", *keys))
-    placed = tagged.withColumn("_r", inside)
-    joined = placed.join(starts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_slice") == F.col("_s")))
-    is_test = F.col("_before") + F.col("_r") <= F.ceil(F.col("_total") * F.lit(test))
+    before = W.partitionBy(label).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(F.col(label).alias("_of"), F.col("_slice").alias("_s"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = tagged.withColumn("_r", F.row_number().over(W.partitionBy(label, "_slice").orderBy("_h", *keys)))
+    joined = placed.join(starts, F.col(label).eqNullSafe(F.col("_of")) & (F.col("_slice") == F.col("_s")))
+    is_test = F.col("_before") + F.col("_r") <= F.col("_take")
     return joined.select(*df.columns, F.when(is_test, "test").otherwise("train").alias("split"))
 
 

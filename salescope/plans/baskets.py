@@ -150,14 +150,16 @@ def rule_champion_query(spark, d):
     sql(PAIRS, itemsets_sql(SUPPORT), RULES,
         "best AS (SELECT *, array_to_string(antecedents, ',') AS l, array_to_string(consequents, ',') AS c FROM rules ORDER BY round(lift, 10) DESC, l, c LIMIT 10)",
         select="""
-        SELECT l || ',' || c AS bundle_items, l AS if_customer_buys, c AS recommend, round(support * 100, 2) AS support_pct,
+        SELECT row_number() OVER (ORDER BY round(lift, 10) DESC, l, c) AS bundle_id, l || ',' || c AS bundle_items, l AS if_customer_buys, c AS recommend, round(support * 100, 2) AS support_pct,
           round(confidence * 100, 2) AS confidence_pct, round(lift, 2) AS lift, round((lift - 1) * 100, 2) AS expected_uplift,
-          CASE WHEN lift > 2 THEN 'STRONG' WHEN lift > 1.5 THEN 'good' ELSE 'moderate' END AS verdict FROM best"""),
+          printf('Baskets with %s hold %s %.1f times as often as others do (%.1f%% of baskets have all of it, %.1f%% of those with the first). %s',
+            replace(l, ',', ', '), replace(c, ',', ', '), round(lift, 1), round(support * 100, 1), round(confidence * 100, 1),
+            CASE WHEN lift > 2 THEN 'Verdict: STRONG link, bundle first.' WHEN lift > 1.5 THEN 'Verdict: good link, worth a promotion.'
+              ELSE 'Verdict: moderate link, try it out.' END) AS reasoning FROM best"""),
 )
 def bundle_records(spark, d):
     found = baskets.rules(mined(spark, d), "lift", 0.3).withColumn("lift", F.round("lift", 10))
-    got = joined(baskets.bundle_records(found, 10), "bundle_items", "if_customer_buys", "recommend")
-    return got.withColumn("verdict", F.regexp_extract("reasoning", "(STRONG|good|moderate)", 1)).drop("reasoning")
+    return joined(baskets.bundle_records(found, 10), "bundle_items", "if_customer_buys", "recommend")
 
 
 @query(
@@ -182,14 +184,15 @@ def copurchases(spark, d):
               UNION ALL SELECT 'Dinner Deal', item_name, count(*), 3 FROM t WHERE meal = 'Dinner' GROUP BY 2
               UNION ALL SELECT 'Weekend Party Pack', item_name, count(*), 4 FROM t WHERE weekend GROUP BY 2),
         s AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY period ORDER BY n DESC, item_name) <= k)""",
-        select="SELECT period, string_agg(item_name, ',' ORDER BY n DESC, item_name) AS bundle FROM s GROUP BY 1"),
+        select=f"""SELECT period, string_agg(item_name, ',' ORDER BY n DESC, item_name) AS bundle, any_value(reasoning) AS reasoning, any_value(offer) AS suggested_discount
+          FROM s JOIN (VALUES {', '.join(f"('{slot}', '{why}', '{offer}')" for slot, _, why, offer in baskets.SLOTS)}) o(period, reasoning, offer) USING (period) GROUP BY 1"""),
 )
 def slot_bundles(spark, d):
     lines = sales(spark, d, "order_date", "order_time", "item_name").select(
         "item_name", meal_period(clock_hour(F.col("order_time"))).alias("meal_period"),
         flag(F.weekday("order_date") >= 5).alias("is_weekend"),
     )
-    return joined(baskets.slot_bundles(lines), "bundle").select("period", "bundle")
+    return joined(baskets.slot_bundles(lines), "bundle")
 
 
 @query(

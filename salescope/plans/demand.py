@@ -201,8 +201,11 @@ def ordered_split(spark, d):
 @query(
     "stratified_split",
     sql(f"""h AS (SELECT o_orderstatus, o_orderkey, o_totalprice, {row_spread_sql('o_orderkey')} AS h FROM orders),
-        p AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, o_orderkey) AS p, count(*) OVER (PARTITION BY o_orderstatus) AS n FROM h)""",
-        select=f"""SELECT o_orderstatus, CASE WHEN p <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split, count(*) AS orders,
+        c AS (SELECT o_orderstatus, count(*) AS n, floor(count(*) * 0.2::DOUBLE) AS low, round(count(*) * 0.2::DOUBLE - floor(count(*) * 0.2::DOUBLE), 9) AS rest FROM h GROUP BY 1),
+        a AS (SELECT o_orderstatus, low + CASE WHEN row_number() OVER (ORDER BY rest DESC, n DESC, o_orderstatus)
+                <= (SELECT ceil(sum(n) * 0.2::DOUBLE) - sum(low) FROM c) THEN 1 ELSE 0 END AS take FROM c),
+        p AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, o_orderkey) AS p FROM h JOIN a USING (o_orderstatus))""",
+        select=f"""SELECT o_orderstatus, CASE WHEN p <= take THEN 'test' ELSE 'train' END AS split, count(*) AS orders,
         {R('sum(o_totalprice)', 2)} AS total FROM p GROUP BY 1, 2"""),
 )
 def stratified_split(spark, d):

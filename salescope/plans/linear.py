@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
-from salescope.learn import gram, metrics, models, runs
+from salescope.learn import gram, models, runs
+from salescope.learn.store import RunStore
 from salescope.operators import series
+from salescope.operators.series import best_rows
 from salescope.plans.profiles import SPLIT_CASE, SPLIT_KEYS
 from salescope.plans.registry import SALES, R, query, rounded, sql
+from salescope.session import scratch_path
 from salescope.sources.views import sales
 
 GRID = {k: models.REGRESSION_GRID[k] for k in gram.KINDS}
@@ -19,7 +22,7 @@ STEPS = 100
 
 
 def grid_sql(columns: tuple[str, str], label: str, grid: dict) -> list[str]:
-    """CTEs up to ``best``: run_name, k, w1, w2 and intercept of every configuration, each by coordinate descent on two inputs."""
+    """CTEs up to ``scored``: every configuration by coordinate descent on two inputs, fitted on the train split."""
     rows = []
     for kind, options in grid.items():
         for number, p in enumerate(models.combinations(options), 1):
@@ -27,21 +30,28 @@ def grid_sql(columns: tuple[str, str], label: str, grid: dict) -> list[str]:
             by_row, whole = (alpha * (1 - l1), 0.0) if kind in ("Lasso", "ElasticNet") else (0.0, alpha)
             rows.append(f"('{models.run_name(kind, p)}', '{kind}', {number}, {int(p.get('fit_intercept', True))}, {bool(p.get('positive', False))}, "
                         f"{alpha * l1}::DOUBLE, {by_row}::DOUBLE, {whole}::DOUBLE)")
-    step = "(CASE WHEN pos THEN greatest({z}, 0) ELSE sign({z}) * greatest(abs({z}) - l1, 0) END / ({a} + l2))"
-    one, two = step.format(z="(c1 - a12 * w2)", a="a11"), step.format(z="(c2 - a12 * n1)", a="a22")
     return [
         f"t AS (SELECT CAST({columns[0]} AS DOUBLE) AS x1, CAST({columns[1]} AS DOUBLE) AS x2, CAST({label} AS DOUBLE) AS y, {SPLIT_CASE} AS split FROM sales)",
-        """s AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, sum(x1 * x1) AS s11, sum(x1 * x2) AS s12, sum(x2 * x2) AS s22,
-              sum(x1 * y) AS s1y, sum(x2 * y) AS s2y FROM t WHERE split = 'train')""",
         f"p(run_name, kind, number, fit, pos, share1, share2, alone2) AS (VALUES {', '.join(rows)})",
-        """g AS (SELECT run_name, kind, number, fit, pos, n * share1 AS l1, n * share2 + alone2 AS l2, m1, m2, my, s11 - fit * n * m1 * m1 AS a11,
-              s12 - fit * n * m1 * m2 AS a12, s22 - fit * n * m2 * m2 AS a22, s1y - fit * n * m1 * my AS c1, s2y - fit * n * m2 * my AS c2 FROM p, s)""",
-        f"""cd AS (SELECT run_name, 0 AS k, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 FROM g UNION ALL
-              SELECT run_name, k + 1, n1, {two} FROM (SELECT cd.run_name, k, g.* EXCLUDE (run_name), {one} AS n1 FROM cd JOIN g USING (run_name) WHERE k < {STEPS}))""",
-        f"best AS (SELECT run_name, kind, number, w1, w2, fit * (my - m1 * w1 - m2 * w2) AS w0 FROM cd JOIN g USING (run_name) WHERE k = {STEPS})",
-        """scored AS (SELECT run_name, kind, number, w0, w1, w2, split, sqrt(avg(power(y - w0 - w1 * x1 - w2 * x2, 2))) AS rmse,
+        *solved_sql("", "split = 'train'"),
+    ]
+
+
+def solved_sql(tag: str, rows: str) -> list[str]:
+    """The configurations ``p`` solved on some rows of ``t``, and their errors on all splits."""
+    step = "(CASE WHEN pos THEN greatest({z}, 0) ELSE sign({z}) * greatest(abs({z}) - l1, 0) END / ({a} + l2))"
+    one, two = step.format(z="(c1 - a12 * w2)", a="a11"), step.format(z="(c2 - a12 * n1)", a="a22")
+    return [
+        f"""s{tag} AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, sum(x1 * x1) AS s11, sum(x1 * x2) AS s12, sum(x2 * x2) AS s22,
+              sum(x1 * y) AS s1y, sum(x2 * y) AS s2y FROM t WHERE {rows})""",
+        f"""g{tag} AS (SELECT run_name, kind, number, fit, pos, n * share1 AS l1, n * share2 + alone2 AS l2, m1, m2, my, s11 - fit * n * m1 * m1 AS a11,
+              s12 - fit * n * m1 * m2 AS a12, s22 - fit * n * m2 * m2 AS a22, s1y - fit * n * m1 * my AS c1, s2y - fit * n * m2 * my AS c2 FROM p, s{tag})""",
+        f"""cd{tag} AS (SELECT run_name, 0 AS k, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 FROM g{tag} UNION ALL
+              SELECT run_name, k + 1, n1, {two} FROM (SELECT c.run_name, k, g.* EXCLUDE (run_name), {one} AS n1 FROM cd{tag} c JOIN g{tag} g USING (run_name) WHERE k < {STEPS}))""",
+        f"best{tag} AS (SELECT run_name, kind, number, w1, w2, fit * (my - m1 * w1 - m2 * w2) AS w0 FROM cd{tag} JOIN g{tag} USING (run_name) WHERE k = {STEPS})",
+        f"""scored{tag} AS (SELECT run_name, kind, number, w0, w1, w2, split, sqrt(avg(power(y - w0 - w1 * x1 - w2 * x2, 2))) AS rmse,
               avg(abs(y - w0 - w1 * x1 - w2 * x2)) AS mae, 1 - sum(power(y - w0 - w1 * x1 - w2 * x2, 2)) / (var_pop(y) * count(*)) AS r2
-              FROM t, best GROUP BY ALL)""",
+              FROM t, best{tag} GROUP BY ALL)""",
     ]
 
 
@@ -132,6 +142,54 @@ def line_diverse_ensembles(spark, d):
     return line_ensembles(spark, d, True)
 
 
+def run_rows(spark, rows: list[dict], **columns):
+    """Run table rows with constant columns added."""
+    names = [f.split()[0] for f in models.RUN_SCHEMA.replace("map<string,string>", "map").split(", ")]
+    table = spark.createDataFrame([tuple(r[c] for c in names) for r in rows], models.RUN_SCHEMA)
+    return table.withColumns({k: F.lit(v) for k, v in columns.items()}).withColumn("run_id", F.concat_ws("/", *columns, "run_name"))
+
+
+@query(
+    "champion_refit_and_export",
+    sql(SALES, *grid_sql(("quantity", "unit_price"), "total_price", GRID), *solved_sql("_again", "split <> 'test'"),
+        "champion AS (SELECT run_name FROM scored WHERE split = 'val' ORDER BY round(rmse, 6), number, run_name LIMIT 1)", recursive=True,
+        select=f"""SELECT run_name, kind AS model_name, {R('w0', 4)} AS intercept, {R('w1', 4)} AS quantity, {R('w2', 4)} AS unit_price, {R('rmse', 4)} AS test_rmse,
+          {R('mae', 4)} AS test_mae, {R('r2', 4)} AS test_r2 FROM scored_again JOIN champion USING (run_name) WHERE split = 'test'"""),
+)
+def champion_refit_and_export(spark, d):
+    """The runs are stored, the champion is looked up there, fitted again on train and validation rows and exported as JSON; the export is read back."""
+    data, design = split_lines(spark, d, "quantity", "unit_price", "total_price"), gram.Design(["quantity", "unit_price"])
+    store = RunStore(spark, scratch_path(spark, "runs"))
+    rows = gram.linear_grid(data, design, GRID, "total_price")
+    for kind in GRID:  # a write for each kind of model, as separate scripts would do it
+        store.append(run_rows(spark, [r for r in rows if r["model_name"] == kind], experiment="line_revenue"))
+    held = store.read().where(F.col("experiment") == "line_revenue").withColumn("val_rmse", F.round("val_rmse", 6))
+    best = runs.champion(held).first()
+    exported = gram.export(spark, data, design, best["model_name"], best["params"], scratch_path(spark, "production"), "total_price", best["run_name"])
+    config = spark.read.json(exported)
+    weights = [F.element_at("weights", i + 1).alias(c) for i, c in enumerate(design.numeric)]
+    return rounded(config.select("run_name", "model_name", "intercept", *weights, "test.*"), 4)
+
+
+@query(
+    "stored_run_table",
+    sql(SALES, *grid_sql(("quantity", "unit_price"), "total_price", GRID), recursive=True, select=f"""
+        SELECT kind AS model_name, run_name, {R('rmse', 4)} AS val_rmse, CAST(row_number() OVER (PARTITION BY kind ORDER BY round(rmse, 6), run_name) AS INTEGER) AS place
+        FROM scored WHERE split = 'val' AND kind <> 'Lasso' QUALIFY place <= 3"""),
+)
+def stored_run_table(spark, d):
+    """Runs appended by kind; retention then drops all lasso runs in a rewrite; the best three of each kind come from the table."""
+    data = split_lines(spark, d, "quantity", "unit_price", "total_price")
+    store = RunStore(spark, scratch_path(spark, "runs"))
+    rows = gram.linear_grid(data, gram.Design(["quantity", "unit_price"]), GRID, "total_price")
+    for i, kind in enumerate(GRID):
+        store.append(run_rows(spark, [r for r in rows if r["model_name"] == kind], experiment="line_revenue", started=i))
+    store.retain(buckets=[("lasso", ["lasso"], 0)])
+    best = best_rows(store.read().withColumn("val_rmse", F.round("val_rmse", 6)), ["model_name"], F.col("val_rmse"), F.col("run_name"), n=3)
+    place = F.row_number().over(W.partitionBy("model_name").orderBy("val_rmse", "run_name"))
+    return rounded(best.select("model_name", "run_name", "val_rmse", place.alias("place")), 4)
+
+
 #: Hashed inputs of each category.
 WIDTHS = {"category": 64, "item_size": 64, "item_name": 4096}
 LINES = gram.Design(models.REVENUE_NUMERIC, WIDTHS)

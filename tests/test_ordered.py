@@ -145,7 +145,19 @@ def test_stratified_split_with_one_dominant_label(spark):
     got = series.stratified_split(df, "label", ["id"])
     assert got.count() == 3000
     counts = {(r["label"], r["split"]): r["count"] for r in got.groupBy("label", "split").count().collect()}
-    assert counts == {("a", "train"): 2320, ("a", "test"): 580, ("b", "train"): 79, ("b", "test"): 20, (None, "test"): 1}
+    assert counts == {("a", "train"): 2320, ("a", "test"): 580, ("b", "train"): 79, ("b", "test"): 20, (None, "train"): 1}
+
+
+def test_stratified_split_takes_one_exact_total(spark, monkeypatch):
+    monkeypatch.setattr(series, "SLICE_ROWS", 50)  # many slices a label
+    df = spark.range(1003).withColumn("label", (F.col("id") * F.col("id")) % 17)
+    for test in (0.2, 0.33):
+        got = series.stratified_split(df, "label", ["id"], test=test).toPandas()
+        sizes, taken = got.groupby("label").size(), got[got["split"] == "test"].groupby("label").size()
+        assert len(got) == 1003 and taken.sum() == np.ceil(test * 1003)
+        assert all(np.floor(test * n) <= taken.get(k, 0) <= np.floor(test * n) + 1 for k, n in sizes.items())
+    again = series.stratified_split(df.repartition(7), "label", ["id"], test=0.33).toPandas()
+    assert set(zip(again["id"], again["split"])) == set(zip(got["id"], got["split"]))
 
 
 def test_best_rows_and_forbidden_columns(spark):
