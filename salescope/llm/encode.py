@@ -2,7 +2,10 @@
 
 Both vocabularies merge only inside a stretch without blanks, and a stretch always ends before a blank that follows a non-blank,
 and before a comma or full stop that follows a letter or digit. A text may be cut there and each piece encoded by the library on
-its own; the ids join to those of the whole text. Words repeat, so a worker encodes most of them once.
+its own; the ids join to those of the whole text. Words repeat, so a worker encodes most of them once. The strings of special tokens
+hold neither blank, comma nor full stop, so they are never cut, and become their ids as the library has it.
+
+A text of any length is encoded whole. Equal pieces, and so equal texts, have equal ids.
 """
 
 from __future__ import annotations
@@ -42,7 +45,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # the strings of special tokens are ordinary text
         self.cache: dict[str, bytes] = {}
 
     def _learn(self, fresh: list[str]) -> None:

@@ -455,3 +455,18 @@ def test_pipeline_keeps_columns_of_clashing_names(spark, docs, tmp_path):
         assert kept.columns == extra.columns, name
     rows = kept.collect()
     assert len(rows) > 5 and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names)
+
+
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_library_with_special_strings_in_the_text(vocabulary):
+    from salescope.llm.encode import Encoder
+
+    path = public_tokenizers.path(vocabulary)
+    library = Tokenizer.from_file(path)
+    specials = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert specials and not any(c in " ,.\n" for s in specials for c in s)
+    rng = random.Random(1)
+    parts = [*specials, *specials, "word", " word", "  ", "\n", ", and", ".", "<|", "|>", "é漢", " a.b,c"]
+    texts_ = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(300)] + specials
+    got = [np.frombuffer(b, "<u4").tolist() for b in Encoder(path).encode(texts_)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts_]
