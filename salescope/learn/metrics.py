@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -91,3 +92,17 @@ def roc_auc(scored: DataFrame, positive: Column, score: str) -> DataFrame:
     ranked = running(counted, "s", ["neg"])
     wins = F.sum(F.col("pos") * (F.col("running_neg") - F.col("neg") / 2))
     return ranked.agg(F.try_divide(wins, F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+
+
+def class_auc(scored: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
+    """``class``, ``roc_auc`` and ``rows`` of each class against the rest, by its own score column, and a row ``mean`` over the classes.
+
+    There is one job for each class; classes without a row, or with all of them, have no area and are left out of the mean.
+    """
+    parts = [
+        roc_auc(scored.where(F.col(column).isNotNull()), F.col(label) == name, column).select(
+            F.lit(name).alias("class"), "roc_auc", scored.where(F.col(label) == name).agg(F.count(F.lit(1))).scalar().alias("rows"))
+        for name, column in scores.items()
+    ]
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole.unionByName(whole.agg(F.lit("mean").alias("class"), F.avg("roc_auc").alias("roc_auc"), F.sum("rows").alias("rows")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salescope.plans import baskets, clusters, demand, features, linear, models, outlook, profiles, totals  # noqa: F401
+from salescope.plans import baskets, clusters, demand, features, learners, linear, models, outlook, profiles, totals  # noqa: F401
 from salescope.plans.registry import QUERIES, SQL
 
 

@@ -472,7 +472,7 @@ SMALL_GRID = {
 
 def demand_vectors(spark, d):
     data = demand_table(spark, d)
-    return models.assemble(series.DEMAND_FEATURES).fit(data).transform(data)
+    return models.assemble(series.DEMAND_FEATURES).fit(data.where(F.col("split") == "train")).transform(data)
 
 
 @query("demand_model_grid")
@@ -499,7 +499,7 @@ def revenue_data(spark, d):
 @query("revenue_boosted_trees")
 def revenue_boosted_trees(spark, d):
     data = revenue_data(spark, d)
-    assembled = models.assemble(models.REVENUE_NUMERIC).fit(data).transform(data)
+    assembled = models.assemble(models.REVENUE_NUMERIC).fit(data.where(F.col("split") == "train")).transform(data)
     boosted = models.regressor("BoostedTrees", n_estimators=10, max_depth=5, learning_rate=0.2)
     return metrics.regression_metrics(models.score(boosted.fit(assembled.where(F.col("split") == "train")), assembled))
 
@@ -531,11 +531,12 @@ def classifier_comparison(spark, d):
 
 @query("boosted_and_neural_classifiers")
 def boosted_and_neural_classifiers(spark, d):
-    data = class_data(spark, d).withColumn("label", (F.col("size") > 25).cast("double"))
+    """Item category, six classes; boosted trees one class against the rest."""
+    data = class_data(spark, d)
     train, test = (data.where(F.col("split") == s) for s in ("train", "test"))
     parts = []
     for name in ("BoostedTrees", "NeuralNetwork"):
-        model = models.classifier(name, classes=2, width=3, trees=5, depth=3).fit(train)
+        model = models.classifier(name, classes=6, width=3, trees=5, depth=3).fit(train)
         parts.append(metrics.classification_metrics(models.score(model, test)).select(F.lit(name).alias("model_name"), "*"))
     return parts[0].unionByName(parts[1])
 
