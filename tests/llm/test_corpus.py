@@ -205,7 +205,7 @@ def alike(a, b):
     return a == b or len(a & b) >= 0.8 * len(a | b) > 0
 
 
-def test_near_copies_are_verified_on_their_shingles(spark, monkeypatch, tmp_path):
+def test_near_copies_are_verified_on_their_shingles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 8)
     rng = random.Random(4)
     bodies = [None, "", " ", "one two", "One two", "one two three", "go " * 9000]
@@ -221,9 +221,9 @@ def test_near_copies_are_verified_on_their_shingles(spark, monkeypatch, tmp_path
     close = [(a, b) for a in range(len(sets)) for b in range(a) if alike(sets[a], sets[b])]
     label = least_reachable(len(bodies), close)
     rows = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(bodies)], "doc_id long, text string, wide string, node int")
-    kept = corpus_pipeline.keep_one_of_near_copies(spark, rows, str(tmp_path))
-    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, x in enumerate(label) if x == i]
-    assert len(set(label)) > 40 and kept.columns == rows.columns  # of 84 near copies, most are below 0.8
+    got = by_id(simhash.similar_documents(rows, 5, 6, 0.75, 0.8))
+    assert {i: r["component_id"] for i, r in got.items()} == dict(enumerate(label))
+    assert len(set(label)) > 40  # of 84 near copies, most are below 0.8
 
 
 def test_similar_sets_connect():
