@@ -27,7 +27,7 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame,
     count = max(1, -(-total // block_bytes))
     placed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_place"))
     block = F.pmod(F.xxhash64("doc_id", "text", "_place", F.lit(count)), F.lit(count)).cast("int")
-    return stored(placed.withColumn("block", block).drop("_place"), "blocks"), total
+    return stored(placed.withColumn("block", block).drop("_place"), "blocks", "zstd"), total
 
 
 def buckets_for(total_keys: int) -> int:
