@@ -7,7 +7,8 @@ double precision. A pair counts only in the first block whose share it keeps, so
 
 The range join of a block lays a grid with cells of twice the radius over its leading coordinates. A vector goes to its own cell and
 to the cells before it within the radius. A cell of many rows is cut into chunks by a hash, and each pair of chunks is one task's
-work. Tasks return a count for each vector and a star for each component.
+work. In a task the rows are sorted by one more coordinate, and only those within the radius there are compared. Tasks return a count for
+each vector and a star for each component.
 
 Equal vectors are compared once and counted with their number. Vectors that are null, empty, zero or hold null or non-finite numbers
 link with nothing, nor do vectors of different lengths. Rows with null ids count and link like others. Other columns are not read.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from salescope.llm.common import stored
 from salescope.llm.components import components, forest
 
-BLOCK_DIMENSIONS, GRID_DIMENSIONS, CHUNK_ROWS, PAIRS = 8, 2, 8192, 50_000
+BLOCK_DIMENSIONS, GRID_DIMENSIONS, CHUNK_ROWS, PAIRS, STEP = 8, 2, 8192, 50_000, 512
 
 
 @lru_cache(maxsize=8)
@@ -55,19 +56,26 @@ def _links(units: np.ndarray, probe: np.ndarray, side: np.ndarray, block: int, c
     starts, budgets = block_starts(dimensions), _budgets(dimensions, cosine)
     turned = units @ rotation(dimensions)
     part = turned[:, starts[block] : starts[block] + BLOCK_DIMENSIONS]
-    first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    # in the order of one more coordinate, a row meets only those within the radius there; sums in single precision get some slack
+    key = part[:, min(GRID_DIMENSIONS, part.shape[1] - 1)]
+    order = np.argsort(key, kind="stable")
+    first, second = order[side[order] == 0], order[side[order] == 1]
     within = not len(second)
     second = first if within else second
-    squares = (part**2).sum(1)
-    step = max(1, (1 << 22) // max(1, len(second)))
-    for at in range(0, len(first), step):
-        rows = first[at : at + step]
-        near = squares[rows, None] + squares[None, second] - 2 * part[rows] @ part[second].T <= budgets[block] + 1e-9
-        near &= ~(probe[rows, None] & probe[None, second])
+    radius, places = np.sqrt(budgets[block]) * (1 + 1e-6), key[second]
+    single = part.astype(np.float32)
+    squares = (single**2).sum(1)
+    for at in range(0, len(first), STEP):
+        rows = first[at : at + STEP]
+        low = at if within else int(np.searchsorted(places, key[rows[0]] - radius))
+        others = second[low : int(np.searchsorted(places, key[rows[-1]] + radius, "right"))]
+        near = squares[rows, None] + squares[None, others] - 2 * (single[rows] @ single[others].T) <= np.float32(budgets[block] + 1e-5)
         a, b = np.nonzero(near)
-        a, b = rows[a], second[b]
         if within:
-            a, b = a[a < b], b[a < b]
+            a, b = a[a < b], b[a < b]  # both count from the same place in the order
+        a, b = rows[a], others[b]
+        due = ~(probe[a] & probe[b])
+        a, b = a[due], b[due]
         for cut in range(0, len(a), PAIRS):
             x, y = a[cut : cut + PAIRS], b[cut : cut + PAIRS]
             linked = np.einsum("ij,ij->i", units[x], units[y]) >= cosine
