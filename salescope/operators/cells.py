@@ -43,10 +43,10 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 
 class Tree:
-    """Points with their ``cell``, the nodes (parent, cell, n, weight, lo, hi, inner) and the tree's depth."""
+    """Points with their ``cell``, the nodes (parent, cell, n, weight, lo, hi, inner), the tree's depth and its number of nodes."""
 
-    def __init__(self, points: DataFrame, nodes: DataFrame, depth: int, count: int, inner: int):
-        self.points, self.nodes, self.depth, self.count, self.inner = points, nodes, depth, count, inner
+    def __init__(self, points: DataFrame, nodes: DataFrame, depth: int, count: int):
+        self.points, self.nodes, self.depth, self.count = points, nodes, depth, count
 
     def leaves(self) -> DataFrame:
         return self.nodes.where(~F.col("inner")).drop("parent", "inner")
@@ -54,7 +54,7 @@ class Tree:
     def children(self) -> DataFrame:
         """One row for each inner cell with all cells it was cut into."""
         rows = self.nodes.where("parent is not null").groupBy("parent").agg(F.collect_list(F.struct("cell", "n", "lo", "hi")).alias("children"))
-        return small(rows, self.inner)
+        return small(rows, self.count)  # its rows hold all nodes
 
     def home(self, rows: DataFrame, metric: str, k: int) -> DataFrame:
         """``rows`` (with ``x``), a leaf ``cell`` near each, down the tree by the nearest child, and ``reach``: a distance that holds ``k`` points.
@@ -98,7 +98,7 @@ def build(points: DataFrame, d: int, leaf: int = LEAF, weight: str | None = None
     """The tree over ``points`` with a coordinate array ``x`` of length ``d``; nodes sum the column ``weight``, if there is one."""
     names = points.columns
     rows = cut_lineage(points.select(*names, F.lit(ROOT).alias("cell"), F.lit(None).cast("string").alias("parent")))
-    done, levels, depth, count, inner = [], [], 0, 0, 0
+    done, levels, depth, count = [], [], 0, 0
     at = [F.col("x")[i] for i in range(d)]
     while True:
         ends = rows.groupBy("parent", "cell").agg(
@@ -112,7 +112,7 @@ def build(points: DataFrame, d: int, leaf: int = LEAF, weight: str | None = None
         levels.append(level.drop("sides"))
         split = level.where("inner").select("cell", "sides")
         total, cut = level.agg(F.count(F.lit(1)), F.count_if("inner")).first()
-        count, inner = count + total, inner + cut
+        count += total
         if not cut:
             done.append(rows.select(*names, "cell"))
             break
@@ -123,10 +123,10 @@ def build(points: DataFrame, d: int, leaf: int = LEAF, weight: str | None = None
             *names, F.concat_ws(".", F.nullif("cell", F.lit(ROOT)), F.concat_ws("", place)).alias("cell"), F.col("cell").alias("parent")))
         depth += 1
     if not depth:
-        return Tree(done[0], levels[0], depth, count, inner)
+        return Tree(done[0], levels[0], depth, count)
     # one table each, in place of one for each depth
     whole = [cut_lineage(reduce(DataFrame.unionByName, parts).repartition("cell")) for parts in (done, levels)]
-    return Tree(*whole, depth, count, inner)
+    return Tree(*whole, depth, count)
 
 
 def meet(visits: DataFrame, points: DataFrame, task_rows: int = LEAF) -> tuple[DataFrame, DataFrame]:

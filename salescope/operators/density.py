@@ -93,7 +93,7 @@ def close_pairs(tree: cells.Tree, eps: float, metric: str) -> DataFrame:
     """
     node = F.struct("cell", "lo", "hi", "weight", "inner")
     children = tree.nodes.where("parent is not null").groupBy("parent").agg(F.collect_list(node).alias("children"))
-    children = cells.small(children, tree.inner)
+    children = cells.small(children, tree.count)
     pairs = tree.nodes.where(F.col("cell") == cells.ROOT).select(node.alias("a"), node.alias("b"))
     settled = []
     for level in range(tree.depth + 1):
