@@ -39,7 +39,21 @@ def op4_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op10_rabin_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.removed_words(table(spark, sf_dir, "documents"), 35)
+    return windows.removed_words(table(spark, sf_dir, "documents"), 35).drop("intervals")
+
+
+SQL["op10_rabin_karp"] = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+f AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY k) > 1),
+s AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 35, true) AS new FROM f),
+m AS (SELECT doc_id, min(i) AS a, max(i) + 35 AS b FROM (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s) GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS before FROM m),
+c AS (SELECT doc_id, sum(b - a) AS gone, max(b) AS last, flatten(list(w[before:a - 1] ORDER BY a)) AS kept FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_concat(kept, w[last:]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
 
 
 @registered
@@ -100,6 +114,15 @@ def op7_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspaces.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+SQL["op7_subspace_join"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95::DOUBLE),
+reach AS (SELECT vec_id AS n, vec_id AS m FROM v UNION SELECT r.n, l.b FROM reach r JOIN links l ON l.a = r.m),
+least AS (SELECT n AS vec_id, min(m) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, component_id = vec_id AS kept FROM least
+"""
+
+
 @registered
 def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(language.fold(F.col("doc_id"), 5) == 1, F.lit(False))
@@ -112,6 +135,22 @@ def op8_columnwise_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columnwise.removed_bytes(table(spark, sf_dir, "documents"), 100).drop("spans")
 
 
+SQL["op8_columnwise_order"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+e AS (SELECT doc_id, n, j, substr(x, 2000 * j + 1, 2198) AS y FROM (SELECT *, unnest(range((n + 900) // 1000)) AS j FROM d WHERE n >= 100)),
+g AS (SELECT doc_id, 1000 * j + i AS i, md5(substr(y, 2 * i + 1, 200)) AS k FROM (SELECT doc_id, j, y, unnest(range(least(1000, n - 99 - 1000 * j))) AS i FROM e)),
+f AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+s AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS new FROM f),
+m AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s) GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM m),
+c AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS spans, max(b) AS last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(x, 2 * last + 1), x))) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+
 @registered
 def op11_swar_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = infill.transform(table(spark, sf_dir, "documents"))
