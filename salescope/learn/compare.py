@@ -13,7 +13,7 @@ from salescope.learn.runs import comparison
 from salescope.operators import clusters
 from salescope.operators.neighbours import knn_classification, knn_regression
 from salescope.operators.series import last_value_forecast, moving_average_forecast
-from salescope.session import cut_lineage
+from salescope.session import cut_lineage, unsent
 
 log = logging.getLogger(__name__)
 
@@ -110,6 +110,7 @@ def compare_clusterings(df: DataFrame, key: str, features: Sequence[str], k: int
     Fewer than two clusters score -1 and 999.
     """
     scaled = cut_lineage(clusters.standardise(df.select(key, *features), features))
+    n = scaled.count()
     methods = {
         "K-Means": ("KMeans", {"n_clusters": k, "n_init": 10}),
         "Hierarchical": ("Hierarchical", {"n_clusters": k}),
@@ -118,7 +119,8 @@ def compare_clusterings(df: DataFrame, key: str, features: Sequence[str], k: int
     }
 
     def measured(algorithm: str, params: dict) -> DataFrame:
-        labelled = cut_lineage(scaled.join(clusters.fit_labels(scaled, key, features, [(algorithm, params)])[0], key))
+        labels = clusters.fit_labels(scaled, key, features, [(algorithm, params)])[0]
+        labelled = cut_lineage(scaled.join(unsent(labels, n), key))
         width = clusters.silhouette_squared(labelled, features).scalar()
         ratio = clusters.davies_bouldin(labelled, features, missing=999.0).scalar()
         return clusters.cluster_counts(labelled).select(width.alias("s"), ratio.alias("d"), F.col("clusters").cast("int"))

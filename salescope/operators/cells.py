@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salescope.session import cut_lineage
+from salescope.session import cut_lineage, unsent
 
 LEAF, SIDES, EVEN = 4096, 3, 8
 #: Node tables of at most so many rows are broadcast.
@@ -39,7 +39,7 @@ def norm(sides: Column, metric: str) -> Column:
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= FEW_NODES else df
+    return F.broadcast(df) if rows <= FEW_NODES else unsent(df, rows)
 
 
 class Tree:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salescope.operators import cells
 from salescope.operators.ordered import running
-from salescope.session import cut_lineage
+from salescope.session import cut_lineage, unsent
 
 LEAF = 512
 #: Pairs of leaves that are compared in one task.
@@ -60,12 +60,13 @@ def components(edges: DataFrame) -> DataFrame:
     print_of = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = print_of(links)
     while True:
+        rows = seen[0]
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         roots = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(roots, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(unsent(roots, rows), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(unsent(lowest, rows), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = cut_lineage(
             small.union(lowest.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct()
         )
@@ -127,12 +128,12 @@ def both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "a_weight", "b_weight").unionByName(turned)
 
 
-def _dealt(pairs: DataFrame, points: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The points of both cells of each pair, with a task for each ``TASK_PAIRS`` pairs or so."""
+def _dealt(pairs: DataFrame, points: DataFrame, names: Sequence[str], rows: int) -> DataFrame:
+    """The ``points`` (``rows`` of them) of both cells of each pair, with a task for each ``TASK_PAIRS`` pairs or so."""
     tasks = max(1, pairs.count() // TASK_PAIRS)
     dealt = pairs.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks)))
     sides = [
-        dealt.join(points, F.col(side) == F.col("cell")).select("task", "a", "b", F.lit(i).alias("side"), *names)
+        dealt.join(unsent(points, rows), F.col(side) == F.col("cell")).select("task", "a", "b", F.lit(i).alias("side"), *names)
         for i, side in enumerate(("a", "b"))
     ]
     return sides[0].unionByName(sides[1].where("a <> b"))
@@ -213,14 +214,16 @@ def _linking(eps: float, metric: str):
     return link
 
 
-def _links_of_whole(near: DataFrame, points: DataFrame) -> list[DataFrame]:
+def _links_of_whole(near: DataFrame, points: DataFrame, rows: int, nodes: int) -> list[DataFrame]:
     """In a cell that lies whole within reach of core points, all core points hang together and all others are borders."""
-    inside = points.select("node", "core", F.explode(ancestors(F.col("cell"))).alias("cell")).join(near.select("cell").distinct(), "cell")
+    inside = points.select("node", "core", F.explode(ancestors(F.col("cell"))).alias("cell")).join(
+        cells.small(near.select("cell").distinct(), nodes), "cell")
     heads = inside.where("core").groupBy("cell").agg(F.min("node").alias("head"))
     reached = near.join(heads.select(F.col("cell").alias("other"), F.col("head").alias("v")), "other").select("cell", "v").distinct()
-    bonds = inside.where("core").join(reached.select("cell").distinct(), "cell").join(heads, "cell").select(F.col("node").alias("u"), F.col("head").alias("v"))
+    bonds = inside.where("core").join(cells.small(reached.select("cell").distinct(), nodes), "cell").join(
+        cells.small(heads, nodes), "cell").select(F.col("node").alias("u"), F.col("head").alias("v"))
     across = reached.join(heads, "cell").select(F.col("head").alias("u"), "v")
-    edges = inside.where("not core").join(reached, "cell").select(F.col("node").alias("u"), "v")
+    edges = unsent(inside.where("not core"), rows).join(reached, "cell").select(F.col("node").alias("u"), "v")
     return [bonds.union(across).where("u <> v").withColumn("border", F.lit(False)), edges.withColumn("border", F.lit(True))]
 
 
@@ -231,6 +234,7 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_sam
     A point counts itself; a border point joins the lowest-numbered cluster in reach.
     ``key`` is a unique number.
     """
+    rows = df.count()
     source = df.select(F.col(key).cast("long").alias("key"), F.array(*[F.col(f).cast("double") + 0.0 for f in features]).alias("x"))
     tree = cells.build(source.groupBy("x").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("w")), len(features), leaf, weight="w")
     pairs = close_pairs(tree, eps, metric)
@@ -249,24 +253,24 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_sam
             unsure = sure.where(F.col("held") < min_samples).select("cell")
             asked = direct.join(unsure.select(F.col("cell").alias("a"), F.lit(1).alias("one")), "a", "left").join(
                 unsure.select(F.col("cell").alias("b"), F.lit(1).alias("two")), "b", "left").where("one is not null or two is not null")
-        counted = _dealt(cut_lineage(asked.select("a", "b")), tree.points, ["node", "x", "w"]).groupBy("task").applyInPandas(_counting(eps, metric), "node long, c long")
-        points = points.drop("c").join(counted.groupBy("node").agg(F.sum("c").alias("c")), "node", "left")
+        counted = _dealt(cut_lineage(asked.select("a", "b")), tree.points, ["node", "x", "w"], rows).groupBy("task").applyInPandas(_counting(eps, metric), "node long, c long")
+        points = points.drop("c").join(unsent(counted.groupBy("node").agg(F.sum("c").alias("c")), rows), "node", "left")
     points = cut_lineage(points.select(
         "node", "x", "w", "cell", (F.col("held") + F.coalesce("c", F.lit(0)) >= min_samples).alias("core")))
 
     found = []
     if any_direct:
-        found.append(_dealt(direct.select("a", "b"), points, ["node", "x", "core"]).groupBy("task").applyInPandas(
+        found.append(_dealt(direct.select("a", "b"), points, ["node", "x", "core"], rows).groupBy("task").applyInPandas(
             _linking(eps, metric), "u long, v long, border boolean"))
     if any_whole:
-        found += _links_of_whole(both_ways(whole).select(F.col("a").alias("cell"), F.col("b").alias("other")), points)
+        found += _links_of_whole(both_ways(whole).select(F.col("a").alias("cell"), F.col("b").alias("other")), points, rows, tree.count)
     found = cut_lineage(reduce(DataFrame.unionByName, found))
 
     roots = components(found.where("not border").select("u", "v"))
-    core = points.where("core").select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    core = points.where("core").select("node").join(unsent(roots, rows), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     core = cut_lineage(core)
     numbered = running(core.select("root").distinct(), "root", tie=["root"])
-    labels = core.join(numbered, "root").select("node", (F.col("position") - 1).cast("int").alias("label"))
-    border = found.where("border").join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("label"))
-    by_point = points.select("x", "node").join(labels.unionByName(border), "node", "left").select("x", "label")
-    return source.join(by_point, "x").select(F.col("key").alias(key), F.coalesce("label", F.lit(-1)).alias("cluster"))
+    labels = core.join(cells.small(numbered, numbered.count()), "root").select("node", (F.col("position") - 1).cast("int").alias("label"))
+    border = found.where("border").join(unsent(labels.withColumnRenamed("node", "v"), rows), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("label"))
+    by_point = points.select("x", "node").join(unsent(labels.unionByName(border), rows), "node", "left").select("x", "label")
+    return source.join(unsent(by_point, rows), "x").select(F.col("key").alias(key), F.coalesce("label", F.lit(-1)).alias("cluster"))

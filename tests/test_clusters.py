@@ -231,3 +231,22 @@ def test_tiles_cover_every_pair_once(spark):
     out = tiles.tiled(left, right, "a", "b", lambda x, y: pd.DataFrame({"a": x["a"], "n": len(y), "s": y["b"].sum()}), "a long, n long, s long", tile=5)
     got = out.groupBy("a").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect()
     assert len(got) == 23 and all((r["n"], r["s"]) == (31, 465) for r in got)
+
+
+def test_points_of_one_small_file_are_dealt_to_all_cores(spark, tmp_path):
+    rows = spark.range(40_000).select("id", F.col("id").cast("double").alias("x"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    data = clusters.points(spark.read.parquet(str(tmp_path / "one")), "id", ["x"])
+    assert data.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
+    assert data.agg(F.count("id"), F.sum("x")).first()[:] == (40_000, 40_000 * 39_999 / 2)
+
+
+def test_joins_on_rows_are_not_broadcast_by_a_guess(spark, monkeypatch):
+    from salescope import session
+
+    points = spark.range(60).select("id", (F.col("id") % 20 + F.floor(F.col("id") / 20) * 100).cast("double").alias("x"), F.lit(0.0).alias("y"))
+    usual = {tuple(r) for r in density.dbscan(points, "id", ["x", "y"], 1.0, 2).collect()}
+    monkeypatch.setattr(session, "SENT_ROWS", 10)
+    found = density.dbscan(points, "id", ["x", "y"], 1.0, 2)
+    assert found._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") >= 3
+    assert {tuple(r) for r in found.collect()} == usual == {(i, i // 20) for i in range(60)}
