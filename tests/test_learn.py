@@ -147,3 +147,25 @@ def test_comparisons_rank_and_show_refused_settings(line):
     labelled = data.withColumn("label", (F.col("label") > 5).cast("double"))
     best = compare.compare_classifiers(labelled, ["a", "b"], "key", chosen={"Logistic Regression": "LogisticRegression", "KNN": "KNN"}).collect()
     assert len(best) == 2 and best[0]["f1"] >= best[1]["f1"] > 0.9
+
+
+def test_models_of_depth_one_are_fitted_on_few_weighted_rows(spark, monkeypatch):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from salescope.plans import learners
+
+    rows = spark.range(3000).select(
+        (F.col("id") % 14 + 9).cast("double").alias("hour"), (F.col("id") % 7 + 1).cast("double").alias("day"),
+        (F.col("id") % 14 * 3 + F.col("id") % 11).cast("double").alias("label"), F.when(F.col("id") % 5 < 4, "train").otherwise("test").alias("split"))
+    seen, original = [], DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, data: seen.append(data.count()) or original(self, data))
+    got = {(r["model_name"], r["split"]): r for r in learners.depth_one_metrics(rows).collect()}
+    assert seen[0] <= 14 * 7 and len(got) == 8
+    p = rows.toPandas()
+    train = p[p.split == "train"]
+    cut = max((c + 0.5 for c in range(9, 22)), key=lambda c: len(train[train.hour < c]) * len(train[train.hour > c])
+              * (train[train.hour < c].label.mean() - train[train.hour > c].label.mean()) ** 2)
+    for name in ("DecisionTree", "RandomForest", "BoostedTrees_1"):
+        for split, part in p.groupby("split"):
+            guess = (part.hour < cut).map({True: train[train.hour < cut].label.mean(), False: train[train.hour > cut].label.mean()})
+            assert got[name, split]["mae"] == pytest.approx((part.label - guess).abs().mean(), abs=1e-3)
