@@ -233,6 +233,30 @@ def test_tiles_cover_every_pair_once(spark):
     assert len(got) == 23 and all((r["n"], r["s"]) == (31, 465) for r in got)
 
 
+def test_blocks_of_a_set_meet_once_for_both_sides(spark):
+    rows = spark.range(23).withColumn("block", F.floor(F.col("id") / 5))
+
+    def each(a, b):
+        whole = a if b is None else pd.concat([a, b])
+        return pd.DataFrame({"low": [whole["id"].min()], "high": [whole["id"].max()], "n": [len(whole)]})
+
+    got = sorted(tuple(r) for r in tiles.tiled_self(rows, "block", 5, each, "low long, high long, n long").collect())
+    blocks = [list(range(i, min(i + 5, 23))) for i in range(0, 23, 5)]
+    assert got == sorted((a[0], b[-1], len(a) if a is b else len(a) + len(b)) for i, a in enumerate(blocks) for b in blocks[i:])
+
+
+def test_silhouette_forms_each_distance_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x, c = rng.normal(size=(40, 3)), np.sort(np.arange(40) % 3)
+    side = [clusters._Side(pd.DataFrame({"key": range(20), "cluster": k, **dict(zip(names(x), y.T))}), names(x)) for y, k in ((x[::2], c[::2]), (x[1::2], c[1::2]))]
+    monkeypatch.setattr(clusters, "CHUNK_ROWS", 3)
+    monkeypatch.setattr(clusters, "CHUNK_COLUMNS", 7)
+    apart = np.sqrt(((x[::2, None] - x[None, 1::2]) ** 2).sum(2))
+    to_b, to_a = clusters._summed_distances(*side, True)
+    assert to_b == pytest.approx(np.stack([apart[:, c[1::2] == k].sum(1) for k in range(3)], 1))
+    assert to_a == pytest.approx(np.stack([apart[c[::2] == k].sum(0) for k in range(3)], 1))
+
+
 def test_points_of_one_small_file_are_dealt_to_all_cores(spark, tmp_path):
     rows = spark.range(40_000).select("id", F.col("id").cast("double").alias("x"))
     rows.coalesce(1).write.parquet(str(tmp_path / "one"))
