@@ -36,6 +36,8 @@ from salescope.llm.scans import cut, for_part, kept_by_part
 GRAM = 32
 BLOCK_CHARS = 6 << 20
 BUCKET_BYTES = 12 << 20
+#: Bytes hashed at once, so that the arrays over them stay in the cache.
+WORK_BYTES = 1 << 18
 HOT, MOST = 8192, 255
 ABSENT = 0xFF  # never a byte of UTF-8
 
@@ -55,6 +57,14 @@ def least_after(h: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
+def firsts(*keys: np.ndarray) -> np.ndarray:
+    """Where each distinct row of the key columns first stands."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+    return order[new]
+
+
 class Stretches:
     """The anchored stretches of a block: row, start (place in the block's bytes), number of strings, anchor and its hash."""
 
@@ -66,7 +76,7 @@ class Stretches:
         row, start, many, anchor, hashes = ([np.zeros(0, t)] for t in (np.int64, np.int64, np.int64, np.int64, np.uint64))
         group, held = [], 0
         for i in [*np.flatnonzero(sizes >= length).tolist(), None]:
-            if group and (i is None or held + sizes[i] > 1 << 21):
+            if group and (i is None or held + sizes[i] > WORK_BYTES):
                 for out, found in zip((row, start, many, anchor, hashes), self._anchors(np.array(group), sizes, length)):
                     out.append(found)
                 group, held = [], 0
@@ -95,16 +105,22 @@ class Stretches:
         return lookup.sent(self.hash, self.hash >> np.uint64(24), buckets)
 
     def first_copies(self, rank: np.ndarray, length: int) -> np.ndarray:
-        """Which stretches are the earliest with their content in this block; ``rank`` puts the rows in order."""
-        ends = self.start + self.many + length - 1
-        order = np.lexsort((self.start, rank[self.row]))
-        key = np.zeros((len(order), 3), np.uint64)
-        key[:, 0] = self.hash[order]
-        for column, base in ((1, BASE_A), (2, BASE_B)):
-            key[:, column] = self._contents(base, ends)[order] + (self.anchor - self.start)[order].astype(np.uint64)
-        _, first = np.unique(key.view([("", np.uint64)] * 3).ravel(), return_index=True)
-        out = np.zeros(len(order), bool)
-        out[order[first]] = True
+        """Which stretches are the earliest with their content in this block; ``rank`` puts the rows in order.
+
+        One whose anchor occurs only once here is; contents are hashed for the others alone.
+        """
+        by_hash = np.argsort(self.hash)
+        equal = self.hash[by_hash[1:]] == self.hash[by_hash[:-1]]
+        shared = np.zeros(len(by_hash), bool)
+        shared[by_hash[1:][equal]] = shared[by_hash[:-1][equal]] = True
+        which = np.flatnonzero(shared)
+        start = self.start[which]
+        ends = start + self.many[which] + length - 1
+        order = np.lexsort((start, rank[self.row[which]]))
+        left = (self.anchor[which] - start)[order].astype(np.uint64)
+        contents = (self._contents(base, start, ends)[order] + left for base in (BASE_A, BASE_B))
+        out = ~shared
+        out[which[order[firsts(self.hash[which][order], *contents)]]] = True
         return out
 
     def first_strings(self, which: np.ndarray, rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -117,23 +133,23 @@ class Stretches:
         key, by_place = np.empty((len(start), 2), np.uint64), np.argsort(start)
         ordered, at = start[by_place], 0
         while at < len(start):
-            to = max(at + 1, int(np.searchsorted(ordered, ordered[at] + (1 << 21))))
+            to = max(at + 1, int(np.searchsorted(ordered, ordered[at] + (WORK_BYTES))))
             own, low = ordered[at:to] - ordered[at], ordered[at]
             values = BYTE_VALUES[self.raw[low : ordered[to - 1] + length]]
             for column, base in enumerate((BASE_A, BASE_B)):
                 key[by_place[at:to], column] = mix(stretch_hashes(values, own, own + length, base))
             at = to
-        _, first = np.unique(key.view([("", np.uint64)] * 2).ravel(), return_index=True)
         new = np.zeros(len(start), bool)
-        new[first] = True
+        new[firsts(key[:, 0], key[:, 1])] = True
         return row, start, new, key
 
-    def _contents(self, base: np.uint64, ends: np.ndarray) -> np.ndarray:
+    def _contents(self, base: np.uint64, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of stretches in the order of their starts."""
         out, at = np.empty(len(ends), np.uint64), 0
         while at < len(ends):
-            to = max(at + 1, int(np.searchsorted(self.start, self.start[at] + (1 << 21))))
-            low = self.start[at]
-            out[at:to] = stretch_hashes(BYTE_VALUES[self.raw[low : ends[at:to].max()]], self.start[at:to] - low, ends[at:to] - low, base)
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + (WORK_BYTES))))
+            low = starts[at]
+            out[at:to] = stretch_hashes(BYTE_VALUES[self.raw[low : ends[at:to].max()]], starts[at:to] - low, ends[at:to] - low, base)
             at = to
         return out
 
@@ -263,11 +279,17 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
         size = many + length - 1
         begin = np.cumsum(size) - size
         order = np.lexsort((starts, rows, block, part, ids))
-        table = np.full((len(order), columns + length - 1), ABSENT, np.uint8)
+        width = columns + length - 1
+        table = np.full(len(order) * width, ABSENT, np.uint8)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        inside = np.arange(len(raw)) - np.repeat(begin, size)
-        table[np.repeat(place, size), np.repeat(columns - 1 - left, size) + inside] = raw
+        shift, at = place * width + columns - 1 - left - begin, 0
+        while at < len(order):
+            to = max(at + 1, int(np.searchsorted(begin, begin[at] + WORK_BYTES)))
+            low, high = begin[at], begin[to - 1] + size[to - 1]
+            table[np.repeat(shift[at:to], size[at:to]) + np.arange(low, high)] = raw[low:high]
+            at = to
+        table = table.reshape(-1, width)
         gone = repeats(table, length, columns)
         first, column = (columns - 1 - left[order])[:, None], np.arange(columns)[None, :]
         gone &= (column >= first) & (column < first + many[order][:, None])  # absent symbols match as well
@@ -295,8 +317,9 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
             begin = found.begin[own["row"].to_numpy(np.int64)]
             low = np.concatenate([found.start[copy], start[~new], begin + own["low"].to_numpy(np.int64)])
             high = np.concatenate([(found.start + found.many + length - 1)[copy], start[~new] + length, begin + own["high"].to_numpy(np.int64)])
-            steps = np.bincount(low, minlength=len(found.raw) + 1) - np.bincount(high, minlength=len(found.raw) + 1)
-            gone = np.cumsum(steps) > 0
+            steps = np.bincount(low, minlength=len(found.raw) + 1)
+            steps -= np.bincount(high, minlength=len(found.raw) + 1)
+            gone = np.cumsum(steps, out=steps) > 0
             out = []
             for doc, text, at in zip(rows["doc_id"], found.texts, found.begin):
                 lost = gone[at : at + len(text)]

@@ -186,3 +186,21 @@ def test_queries_on_odd_tables(spark, docs, rows, tmp_path):
     for name in ("op11_swar_infill", "op12_license_rules", "op13_lag_lead_merkle"):
         assert queries.QUERIES[name](spark, str(tmp_path)).count() == len(rows)
         assert queries.QUERIES[name](spark, f"{tmp_path}/none").count() == 0
+
+
+def test_stretches_of_lone_anchors_are_not_hashed(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from salescope.llm import columnwise
+
+    rng = np.random.default_rng(5)
+    lone = "".join(map(chr, rng.integers(97, 123, 3000)))
+    hashed, contents = [], columnwise.Stretches._contents
+    monkeypatch.setattr(columnwise.Stretches, "_contents", lambda self, base, *of: hashed.append(len(of[-1])) or contents(self, base, *of))
+    one = columnwise.Stretches(pd.DataFrame({"text": [lone]}), 100)
+    assert one.first_copies(np.arange(1), 100).all() and not any(hashed)
+    two = columnwise.Stretches(pd.DataFrame({"text": [lone[:400], lone]}), 100)
+    first = two.first_copies(np.array([1, 0]), 100)  # the second row comes first
+    # the last stretch of the short text may end before its twin does, and is then no copy
+    assert first[two.row == 1].all() and first[two.row == 0].sum() <= 1 and max(hashed) < len(two.row)
