@@ -17,6 +17,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 CACHE_ENTRIES = 1_500_000
+#: A cache of more entries goes when its task ends, as the worker may next do quite other work and holds its memory for good.
+KEPT_ENTRIES = 100_000
 CHUNK = 500
 GROUP_PIECES = 400_000
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -75,6 +77,11 @@ class Encoder:
                 waiting, size = [], 0
         yield from self._finish(waiting)
 
+    def rest(self) -> None:
+        """To be called at the end of a task."""
+        if len(self.cache) > KEPT_ENTRIES:
+            self.cache.clear()
+
     def _finish(self, waiting: list[list[str]]) -> list[bytes]:
         fresh = set().union(*waiting).difference(self.cache)
         if len(self.cache) + len(fresh) > CACHE_ENTRIES:

@@ -33,5 +33,6 @@ def encoded_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int,
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)[: len(schema)])
             yield pd.DataFrame(rows, columns=schema.names)
+        encode.rest()
 
     return docs.select("doc_id", "text").mapInPandas(cut, schema)

@@ -204,3 +204,18 @@ def test_stretches_of_lone_anchors_are_not_hashed(monkeypatch):
     first = two.first_copies(np.array([1, 0]), 100)  # the second row comes first
     # the last stretch of the short text may end before its twin does, and is then no copy
     assert first[two.row == 1].all() and first[two.row == 0].sum() <= 1 and max(hashed) < len(two.row)
+
+
+def test_a_large_cache_of_pieces_goes_with_its_task(monkeypatch):
+    import public_tokenizers
+
+    from salescope.llm import encode
+
+    one = encode.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    before = list(one.encode(["one two three four"]))
+    monkeypatch.setattr(encode, "KEPT_ENTRIES", 4)
+    one.rest()
+    assert len(one.cache) == 4  # a small one stays
+    list(one.encode(["five"]))
+    one.rest()
+    assert not one.cache and list(one.encode(["one two three four"])) == before
