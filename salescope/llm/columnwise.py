@@ -38,6 +38,8 @@ BLOCK_CHARS = 6 << 20
 BUCKET_BYTES = 12 << 20
 #: Bytes hashed at once, so that the arrays over them stay in the cache.
 WORK_BYTES = 1 << 18
+#: Bytes that leave a task in one frame.
+FRAME_BYTES = 4 << 20
 HOT, MOST = 8192, 255
 ABSENT = 0xFF  # never a byte of UTF-8
 
@@ -65,6 +67,20 @@ def firsts(*keys: np.ndarray) -> np.ndarray:
     return order[new]
 
 
+def frames(records: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Records, the columns of bytes last, some MB to a frame: each block has some for every bucket, and a frame takes milliseconds."""
+    first = names.index("ids")
+    held, size = [], 0
+    for record in records:
+        held.append(record)
+        size += sum(len(column) for column in record[first:] if column is not None)
+        if size >= FRAME_BYTES:
+            yield pd.DataFrame(held, columns=names)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=names)
+
+
 class Stretches:
     """The anchored stretches of a block: row, start (place in the block's bytes), number of strings, anchor and its hash."""
 
@@ -235,9 +251,8 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
         bits, hot = (np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(own[c], own["n"])]).astype(bool) for c in ("bits", "hot"))
         return sent.spread(bits | (sent.counts() > 1)), sent.spread(hot)
 
-    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         waiting = None
-        names = ["part", "block", "bucket", "n", "ids", "rows", "starts", "many", "left", "bytes"]
         for part, block, rows, rank, found in blocks(batches):
             if waiting is None:
                 waiting = for_part(folder, part, ["block", "n_rows", "bucket", "n", "bits", "hot"])
@@ -249,8 +264,8 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
             bucket = ((key[:, 1] >> np.uint64(40)) & np.uint64(4 * buckets - 1)).astype(np.int64) + buckets  # after those of stretches
             order = np.argsort(bucket, kind="stable")
             for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
-                yield pd.DataFrame([(part, block, int(bucket[own[0]]), len(own), ids[row[own]].tobytes(), row[own].tobytes(),
-                                     (start[own] - found.begin[row[own]]).tobytes(), None, None, key[own].tobytes())], columns=names)
+                yield (part, block, int(bucket[own[0]]), len(own), ids[row[own]].tobytes(), row[own].tobytes(),
+                       (start[own] - found.begin[row[own]]).tobytes(), None, None, key[own].tobytes())
             go = np.flatnonzero(again & ~hot)
             if not len(go):
                 continue
@@ -260,11 +275,10 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
             for own in np.split(go, np.flatnonzero(np.diff(bucket)) + 1):
                 size = found.many[own] + length - 1
                 flat = np.repeat(found.start[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                yield pd.DataFrame([(part, block, int((found.hash[own[0]] >> np.uint64(40)) & np.uint64(buckets - 1)), len(own),
-                                     ids[found.row[own]].tobytes(), found.row[own].tobytes(), (found.start[own] - found.begin[found.row[own]]).tobytes(),
-                                     found.many[own].astype(np.uint8).tobytes(), (found.anchor - found.start)[own].astype(np.uint8).tobytes(),
-                                     found.raw[flat].tobytes())],
-                                   columns=names)
+                yield (part, block, int((found.hash[own[0]] >> np.uint64(40)) & np.uint64(buckets - 1)), len(own),
+                       ids[found.row[own]].tobytes(), found.row[own].tobytes(), (found.start[own] - found.begin[found.row[own]]).tobytes(),
+                       found.many[own].astype(np.uint8).tobytes(), (found.anchor[own] - found.start[own]).astype(np.uint8).tobytes(),
+                       found.raw[flat].tobytes())
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         ids, rows, starts = (np.concatenate([np.frombuffer(b, np.int64) for b in frame[c]]) for c in ("ids", "rows", "starts"))
@@ -300,7 +314,9 @@ def removed_bytes(docs: DataFrame, length: int = 100, keep_text: bool = False) -
         from_ = starts[of] + low - (columns - 1 - left[of])
         return pd.DataFrame({"part": part[of], "block": block[of], "row": rows[of], "low": from_, "high": from_ + (high - low) + length - 1})
 
-    sent = docs.mapInPandas(stretches, "part int, block int, bucket int, n int, ids binary, rows binary, starts binary, many binary, left binary, bytes binary")
+    names = ["part", "block", "bucket", "n", "ids", "rows", "starts", "many", "left", "bytes"]
+    sent = docs.mapInPandas(lambda batches: frames(stretches(batches), names),
+                            "part int, block int, bucket int, n int, ids binary, rows binary, starts binary, many binary, left binary, bytes binary")
     spans = sent.groupBy("bucket").applyInPandas(compare, "part int, block int, row long, low long, high long")
     later = kept_by_part(spans, "repeats")
 

@@ -219,3 +219,15 @@ def test_a_large_cache_of_pieces_goes_with_its_task(monkeypatch):
     list(one.encode(["five"]))
     one.rest()
     assert not one.cache and list(one.encode(["one two three four"])) == before
+
+
+def test_what_leaves_a_block_goes_in_few_frames():
+    from salescope.llm import columnwise
+
+    names = ["part", "bucket", "ids", "bytes"]
+    records = [(0, i, b"12345678", b"x" * 1000) for i in range(5000)]
+    found = list(columnwise.frames(iter(records), names))
+    assert len(found) == 2 and [tuple(r) for f in found for r in f.itertuples(index=False)] == records
+    assert not list(columnwise.frames(iter([]), names))
+    large = [(0, i, b"", b"x" * columnwise.FRAME_BYTES) for i in range(3)]
+    assert [len(f) for f in columnwise.frames(iter([*large, (0, 3, b"1", None)]), names)] == [1, 1, 1, 1]
