@@ -11,14 +11,17 @@ A text of any length is encoded whole. Equal pieces, and so equal texts, have eq
 from __future__ import annotations
 
 import os
+import pickle
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 CACHE_ENTRIES = 1_500_000
-#: A cache of more entries goes when its task ends, as the worker may next do quite other work and holds its memory for good.
-KEPT_ENTRIES = 100_000
+#: Of a cache of more entries only so many, those met again most often, stay when its task ends, as the worker may next do quite
+#: other work and holds its memory for good.
+KEPT_ENTRIES = 250_000
 CHUNK = 500
 GROUP_PIECES = 400_000
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -33,7 +36,7 @@ def pieces(text: str) -> list[str]:
     plain = (
         "\0" not in text
         and not any(a + b in text for a in blanks for b in blanks)
-        and all(x[-1:].isalnum() for mark in ",." for x in text.split(mark)[:-1])
+        and all(all(map(str.isalnum, [x[-1:] for x in text.split(mark)[:-1]])) for mark in ",.")
     )
     if not plain:
         return SAFE_CUT.split(text)
@@ -48,20 +51,19 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        self.again: Counter[str] = Counter()
 
-    def _learn(self, fresh: list[str]) -> None:
-        words = [p for p in fresh if WORD.fullmatch(p)]
+    def _learn(self, fresh: set[str]) -> None:
+        words = list(filter(WORD.fullmatch, fresh))
         groups = [words[i : i + CHUNK] for i in range(0, len(words), CHUNK)]
-        rest = [p for p in fresh if not WORD.fullmatch(p)]
+        rest = list(fresh.difference(words))
         for group, found in zip(groups, self.library.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
             counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(group))
             if len(counts) != len(group):  # a word that the library cuts further
                 rest += group
                 continue
-            ids, start = np.array(found.ids, "<u4").tobytes(), 0
-            for word, end in zip(group, (np.cumsum(counts) * 4).tolist()):
-                self.cache[word] = ids[start:end]
-                start = end
+            ids, ends = np.array(found.ids, "<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+            self.cache.update(zip(group, map(ids.__getitem__, map(slice, [0, *ends], ends))))
         for piece, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
             self.cache[piece] = np.array(found.ids, "<u4").tobytes()
 
@@ -80,14 +82,24 @@ class Encoder:
     def rest(self) -> None:
         """To be called at the end of a task."""
         if len(self.cache) > KEPT_ENTRIES:
+            kept = [p for p, _ in self.again.most_common(KEPT_ENTRIES)]
+            packed = pickle.dumps([(p, self.cache[p], self.again[p]) for p in kept])  # made anew, so that memory around them is given back
+            del kept
             self.cache.clear()
+            self.again.clear()
+            for piece, ids, times in pickle.loads(packed):
+                self.cache[piece], self.again[piece] = ids, times
 
     def _finish(self, waiting: list[list[str]]) -> list[bytes]:
-        fresh = set().union(*waiting).difference(self.cache)
+        met = set().union(*waiting)
+        fresh = met.difference(self.cache)
         if len(self.cache) + len(fresh) > CACHE_ENTRIES:
             self.cache.clear()
-            fresh = set().union(*waiting)
-        self._learn(list(fresh))
+            self.again.clear()
+            fresh = met
+        else:
+            self.again.update(met.difference(fresh))
+        self._learn(fresh)
         return [b"".join(map(self.cache.__getitem__, parts)) for parts in waiting]
 
 

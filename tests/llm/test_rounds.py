@@ -231,3 +231,19 @@ def test_what_leaves_a_block_goes_in_few_frames():
     assert not list(columnwise.frames(iter([]), names))
     large = [(0, i, b"", b"x" * columnwise.FRAME_BYTES) for i in range(3)]
     assert [len(f) for f in columnwise.frames(iter([*large, (0, 3, b"1", None)]), names)] == [1, 1, 1, 1]
+
+
+def test_pieces_met_most_often_stay_after_a_task(monkeypatch):
+    import public_tokenizers
+
+    from salescope.llm import encode
+
+    one = encode.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(encode, "KEPT_ENTRIES", 2)
+    for text in ("one two three four", "one two three", "one three"):
+        before = list(one.encode([text]))
+    one.rest()
+    assert set(one.cache) == {"one", " three"} and list(one.encode(["one three"])) == before
+    list(one.encode(["five six seven"]))
+    one.rest()
+    assert set(one.cache) == {"one", " three"}
