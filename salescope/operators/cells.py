@@ -4,13 +4,16 @@ Every cell with more than ``leaf`` points is cut along its widest sides: at quar
 a small stretch of the side, into ``EVEN`` equal stretches, so that a crowd is set apart from a few points far off before it is cut itself.
 Both part a cell's outermost points; points that are all equal stay in one cell, whatever their number. A cell's box is that of its own points. All cells of a
 depth are cut in one pass over the points, so the number of passes grows with the logarithm of their number. Searches walk down
-the tree by joins on the parent cell, whose row carries its at most ``EVEN`` ** ``SIDES`` children.
+the tree a level at a time: the rows of a cell are dealt to tasks, each with the cell's at most ``EVEN`` ** ``SIDES`` children.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salescope.session import cut_lineage, unsent
@@ -19,18 +22,18 @@ LEAF, SIDES, EVEN = 4096, 3, 8
 #: Node tables of at most so many rows are broadcast.
 FEW_NODES = 20_000
 ROOT = ""
+#: Distances of rows to boxes that are formed at once.
+BLOCK = 1 << 18
 
 
-def gap(x: Column, lo: Column, hi: Column, metric: str) -> Column:
-    """Least distance of a point to a box, squared for the euclidean metric."""
-    sides = F.zip_with(F.zip_with(x, lo, lambda a, b: b - a), F.zip_with(x, hi, lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
-    return norm(sides, metric)
-
-
-def corner(x: Column, lo: Column, hi: Column, metric: str) -> Column:
-    """Greatest distance of a point to a box, squared for the euclidean metric."""
-    sides = F.zip_with(F.zip_with(x, lo, lambda a, b: a - b), F.zip_with(x, hi, lambda a, b: b - a), lambda a, b: F.greatest(a, b))
-    return norm(sides, metric)
+def _sides(x: np.ndarray, boxes: np.ndarray, metric: str, farthest: bool) -> np.ndarray:
+    """Least or greatest distance of each point to each box (lo, hi), squared for the euclidean metric."""
+    out = np.zeros((len(x), len(boxes)))
+    for i in range(x.shape[1]):
+        below, above = boxes[None, :, 0, i] - x[:, None, i], x[:, None, i] - boxes[None, :, 1, i]
+        side = np.maximum(-below, -above) if farthest else np.maximum(np.maximum(below, above), 0.0)
+        out += side if metric == "manhattan" else side * side
+    return out
 
 
 def norm(sides: Column, metric: str) -> Column:
@@ -51,40 +54,57 @@ class Tree:
     def leaves(self) -> DataFrame:
         return self.nodes.where(~F.col("inner")).drop("parent", "inner")
 
-    def children(self) -> DataFrame:
-        """One row for each inner cell with all cells it was cut into."""
-        rows = self.nodes.where("parent is not null").groupBy("parent").agg(F.collect_list(F.struct("cell", "n", "lo", "hi")).alias("children"))
-        return small(rows, self.count)  # its rows hold all nodes
+    def _descend(self, rows: DataFrame, step: Callable[[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]) -> DataFrame:
+        """``rows`` with their ``cell``, from the root to leaves: a level at a time, the rows of a cell meet its children in parts.
+
+        ``step(rows, points, boxes, sizes)`` gives the rows of the next level with their ``child`` (its place among the boxes).
+        """
+        children = self.nodes.where("parent is not null").select(F.col("parent").alias("cell"), F.col("cell").alias("child"), "n", "lo", "hi", "inner")
+        going = rows.withColumns({"cell": F.lit(ROOT), "inner": F.lit(True)})
+        schema, names, done = ", ".join(f"`{c}` {kind}" for c, kind in going.dtypes), going.columns, []
+
+        def next_level(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if not len(a) or not len(b):
+                return a[names][:0]
+            b = b.sort_values("child")
+            x, boxes, kept = np.stack(a["x"].to_numpy()), np.stack([np.stack(b[c].to_numpy()) for c in ("lo", "hi")], 1), []
+            cell, inner, at_once = b["child"].to_numpy(), b["inner"].to_numpy(), max(1, BLOCK // len(b))
+            for start in range(0, len(a), at_once):
+                moved = step(a.iloc[start : start + at_once], x[start : start + at_once], boxes, b["n"].to_numpy())
+                kept.append(moved.assign(cell=cell[moved["child"]], inner=inner[moved["child"]])[names])
+            return pd.concat(kept)
+
+        for _ in range(self.depth):
+            left, right = meet(going, children)
+            level = cut_lineage(left.groupBy("cell", "part").cogroup(right.groupBy("cell", "part")).applyInPandas(next_level, schema))
+            done.append(level.where(~F.col("inner")))
+            going = level.where("inner")
+        return reduce(DataFrame.unionByName, done or [going]).drop("inner")
 
     def home(self, rows: DataFrame, metric: str, k: int) -> DataFrame:
         """``rows`` (with ``x``), a leaf ``cell`` near each, down the tree by the nearest child, and ``reach``: a distance that holds ``k`` points.
 
         The distance is read off the boxes on the way: the nearest ones that hold ``k`` points together, each at its farthest corner.
         """
-        best = F.array_min(F.transform("children", lambda c: F.struct(gap(F.col("x"), c["lo"], c["hi"], metric).alias("gap"), c["cell"].alias("cell"))))["cell"]
-        farthest = F.array_sort(F.transform("children", lambda c: F.struct(corner(F.col("x"), c["lo"], c["hi"], metric).alias("far"), c["n"].alias("n"))))
-        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(float("inf")).alias("far"))
-        holds = F.aggregate(farthest, start, lambda at, c: F.struct(
-            (at["n"] + c["n"]).alias("n"), F.when(at["n"] < k, c["far"]).otherwise(at["far"]).alias("far")))
-        held = F.when(holds["n"] >= k, holds["far"]).otherwise(F.lit(float("inf")))
-        names = rows.columns
-        out, children = rows.select(*names, F.lit(ROOT).alias("cell"), F.lit(float("inf")).alias("reach")), self.children()
-        for _ in range(self.depth):
-            met = out.join(children.withColumnRenamed("parent", "cell"), "cell", "left")
-            down = F.col("children").isNotNull()
-            out = met.select(*names, F.when(down, best).otherwise(F.col("cell")).alias("cell"),
-                             F.when(down, F.least("reach", held)).otherwise(F.col("reach")).alias("reach"))
+        def nearest(a: pd.DataFrame, x: np.ndarray, boxes: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+            far = _sides(x, boxes, metric, True)
+            order = np.argsort(far, axis=1)
+            held = np.cumsum(n[order], axis=1) >= k
+            at = np.take_along_axis(order, held.argmax(1)[:, None], 1)
+            holds = np.where(held.any(1), np.take_along_axis(far, at, 1)[:, 0], np.inf)
+            gap = _sides(x, boxes, metric, False)
+            return a.assign(child=np.where(np.isnan(gap), np.inf, gap).argmin(1), reach=np.fmin(a["reach"].to_numpy(), holds))
+
+        out = self._descend(rows.withColumn("reach", F.lit(float("inf"))), nearest).select(*rows.columns, "cell", "reach")
         return out if metric == "manhattan" else out.withColumn("reach", F.sqrt("reach"))
 
     def within(self, rows: DataFrame, reach: Column, metric: str) -> DataFrame:
         """``rows`` (with ``x``) for each leaf ``cell`` whose box is within ``reach`` of the point."""
-        children, names = self.children(), rows.columns
-        out = rows.withColumn("cell", F.lit(ROOT))
-        for _ in range(self.depth):
-            met = out.join(children.withColumnRenamed("parent", "cell"), "cell", "left")
-            near = F.transform(F.filter("children", lambda c: gap(F.col("x"), c["lo"], c["hi"], metric) <= reach), lambda c: c["cell"])
-            out = met.select(*names, F.explode(F.when(F.col("children").isNull(), F.array("cell")).otherwise(near)).alias("cell"))
-        return out
+        def reached(a: pd.DataFrame, x: np.ndarray, boxes: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+            row, child = np.nonzero(_sides(x, boxes, metric, False) <= a["_limit"].to_numpy()[:, None])
+            return a.iloc[row].assign(child=child)
+
+        return self._descend(rows.withColumn("_limit", reach), reached).select(*rows.columns, "cell")
 
 
 def _cuts(side: Column) -> Column:

@@ -45,13 +45,15 @@ def _closest(k: int, p: int):
         for start in range(0, len(x), step):
             away = np.abs(x[start : start + step, None, :] - y[None, :, :])
             distance = away.sum(axis=2) if p == 1 else np.sqrt((away**2).sum(axis=2))
-            order = np.argsort(distance, axis=1, kind="stable")[:, :near]
-            best = np.take_along_axis(distance, order, axis=1)
-            inside = best <= a["reach"].to_numpy()[start : start + step, None]
-            rows, columns = np.nonzero(inside)
+            # the near ones and, of those as far as the last of them, the first: without ordering all
+            last = np.partition(distance, near - 1, axis=1)[:, near - 1 : near]
+            last = np.where(np.isnan(last), np.inf, last)  # fewer than that many distances are numbers
+            closer, level = distance < last, distance == last
+            inside = closer | level & (np.cumsum(level, axis=1, dtype=np.int32) <= near - closer.sum(axis=1, keepdims=True))
+            rows, columns = np.nonzero(inside & (distance <= a["reach"].to_numpy()[start : start + step, None]))
             kept.append(pd.DataFrame({
-                "key": a["key"].to_numpy()[start + rows], "train_key": b["train_key"].to_numpy()[order[rows, columns]],
-                "distance": best[rows, columns], "value": b["value"].to_numpy()[order[rows, columns]]}))
+                "key": a["key"].to_numpy()[start + rows], "train_key": b["train_key"].to_numpy()[columns],
+                "distance": distance[rows, columns], "value": b["value"].to_numpy()[columns]}))
         return pd.concat(kept)
 
     return compare

@@ -1,3 +1,5 @@
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -193,6 +195,29 @@ def test_rows_of_a_neighbour_search_grow_with_the_rows(spark, p):
     assert max(visits) < 6 and visits[2] <= 1.1 * visits[0]
 
 
+def test_rows_of_one_partition_go_down_the_tree_in_parts(spark, monkeypatch):
+    x = np.random.default_rng(8).random((2000, 2))
+    points = frame(spark, x).select(F.array(*names(x)).alias("x"), F.col("id").alias("train_key"), F.lit(0.0).alias("value"))
+    tree = cells.build(points, 2, 60)
+    rows = frame(spark, x).select(F.col("id").alias("key"), F.array(*names(x)).alias("x")).coalesce(1)
+    monkeypatch.setattr(cells, "meet", partial(cells.meet, task_rows=100))
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        found = tree.home(rows, "euclidean", 3)
+        assert found.count() == 2000 and found.select(F.spark_partition_id()).distinct().count() > 1
+        assert found.join(tree.leaves(), "cell").count() == 2000
+    finally:
+        spark.conf.unset(merged)
+
+
+def test_training_rows_with_missing_numbers_are_no_neighbours(spark):
+    train = spark.createDataFrame([(i, float(i), None if i % 2 else 0.0, float(i)) for i in range(8)], "id long, f0 double, f1 double, y double")
+    test = spark.createDataFrame([(10, 0.0, 0.0)], "id long, f0 double, f1 double")
+    got = neighbours.nearest(train, test, ["f0", "f1"], "y", "id", 6).orderBy("rank").collect()
+    assert [r["train_key"] for r in got] == [0, 2, 4, 6]
+
+
 def test_far_and_crowded_neighbours(spark):
     """Rows far outside, equal points (lowest keys win) and cells with fewer points than asked for."""
     x = np.concatenate([np.zeros((300, 2)), np.random.default_rng(2).random((200, 2)), [[50.0, 50.0]]])
