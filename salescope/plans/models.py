@@ -10,7 +10,7 @@ from salescope.operators.neighbours import knn_classification, knn_regression
 from salescope.plans.demand import LAGS, SPLIT, hourly, split_hours
 from salescope.plans.profiles import SPLIT_CASE, SPLIT_KEYS
 from salescope.plans.registry import HOURLY, R, SALES, query, r, rounded, sql
-from salescope.session import cut_lineage, fixed_and_spread, scratch_path
+from salescope.session import cut_lineage, fixed_and_spread, scratch_path, stored
 from salescope.sources.views import sales, table
 
 SETS = ("train", "val", "test")
@@ -491,15 +491,26 @@ def demand_model_ensemble(spark, d):
     return metrics.regression_metrics(runs.blended(scored, weights))
 
 
-def revenue_data(spark, d):
-    """Feature table fixed in storage: fitting the indexer, the model and the metrics each read it."""
-    return fixed_and_spread(models.revenue_features(sales(spark, d)))
+#: Lines that are kept as whole rows; of more only their assembled columns are stored.
+FEW_LINES = 1 << 20
+
+
+def revenue_data(spark, d, assembler):
+    """Assembled feature table fixed in storage: fitting the selector, the model and the metrics each read it.
+
+    Of many lines the vectors themselves are stored, as to assemble them takes longer than to read them.
+    """
+    features = models.revenue_features(sales(spark, d))
+    if table(spark, d, "lineitem").count() <= FEW_LINES:
+        return assembler.transform(fixed_and_spread(features))
+    return stored(assembler.transform(features).select(assembler.getOutputCol(), "label", "split"))
 
 
 @query("revenue_boosted_trees")
 def revenue_boosted_trees(spark, d):
-    data = revenue_data(spark, d)
-    assembled = models.assemble(models.REVENUE_NUMERIC).fit(data.where(F.col("split") == "train")).transform(data)
+    assembler, *rest = models.assemble(models.REVENUE_NUMERIC).getStages()
+    data = revenue_data(spark, d, assembler)
+    assembled = models.Pipeline(stages=rest).fit(data.where(F.col("split") == "train")).transform(data)
     boosted = models.regressor("BoostedTrees", n_estimators=10, max_depth=5, learning_rate=0.2)
     return metrics.regression_metrics(models.score(boosted.fit(assembled.where(F.col("split") == "train")), assembled))
 

@@ -63,6 +63,17 @@ def fixed_and_spread(df: DataFrame, task_rows: int = 0) -> DataFrame:
     return fixed if fixed.rdd.getNumPartitions() >= parts else cut_lineage(fixed.repartition(parts))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` in the shared folder as columns, for passes that each read some of its columns or rows.
+
+    They are neither packed nor coded, so that a task's share of the bytes is a bounded number of rows.
+    """
+    path = scratch_path(df.sparkSession, "columns")
+    plain = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(1 << 24)}
+    df.write.options(**plain).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Tables counted to hold more rows are never sent whole to every task.
 SENT_ROWS = 20_000
 

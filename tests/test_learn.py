@@ -169,3 +169,25 @@ def test_models_of_depth_one_are_fitted_on_few_weighted_rows(spark, monkeypatch)
         for split, part in p.groupby("split"):
             guess = (part.hour < cut).map({True: train[train.hour < cut].label.mean(), False: train[train.hour > cut].label.mean()})
             assert got[name, split]["mae"] == pytest.approx((part.label - guess).abs().mean(), abs=1e-3)
+
+
+def test_many_lines_are_stored_as_assembled_columns(spark, tmp_path, monkeypatch):
+    from salescope.plans import models as plans
+
+    lines = [(i % 20, i % 7, i, float(1 + i % 5), float(10 + i % 9)) for i in range(200)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, id AS o_custkey, timestamp'2024-01-01' + make_interval(0, 0, 0, int(id)) AS o_orderdate FROM range(20)").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT id AS p_partkey, concat('red ', id) AS p_name, 'b' AS p_brand, 'PROMO' AS p_type, int(id) AS p_size FROM range(7)").write.parquet(
+        f"{tmp_path}/part.parquet")
+    assembler = models.assemble(models.REVENUE_NUMERIC).getStages()[0]
+
+    def rows(data):
+        return sorted((r["all_features"].toArray().tolist(), r["label"], r["split"]) for r in data.collect())
+
+    whole = rows(plans.revenue_data(spark, str(tmp_path), assembler))
+    monkeypatch.setattr(plans, "FEW_LINES", 0)
+    data = plans.revenue_data(spark, str(tmp_path), assembler)
+    assert data.columns == ["all_features", "label", "split"] and data.inputFiles()
+    assert len(whole) == 200 and rows(data) == whole
