@@ -19,7 +19,7 @@ FEATURES = ["unit_price", "ingredient_count", "size_code", "category_code"]
 
 def product_points(spark, d):
     """Numbered products (by name) with their four features, unscaled."""
-    described = identity(item_base(spark, d))
+    described = identity(item_sales(spark, d, "item_name", "item_size", "category", "ingredients"))
     named = cut_lineage(described.withColumn("ingredient_count", ingredient_count(F.col("ingredients")).cast("double")))
     for column, code in (("item_size", "size_code"), ("category", "category_code")):
         named = add_label_code(named, column, code)

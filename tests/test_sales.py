@@ -127,3 +127,14 @@ def test_database_options():
 def test_scalar_growth_column(spark):
     days = daily(spark, [1] * 56)
     assert days.limit(1).select(one_row(outlook.weekly_growth(days))["growth"].alias("g")).first()["g"] == 0
+
+
+def test_identity_reads_the_items_once(spark, tmp_path):
+    from salescope.plans.totals import identity
+
+    rows = [("a", "S", "x", "p, q", 2, 10.0), ("a", "L", "x", "p, q", 3, 30.0), ("b", "S", "y", "r", 1, 7.0)]
+    spark.createDataFrame(rows, "item_name string, item_size string, category string, ingredients string, lines long, unit_price_sum double").write.parquet(
+        f"{tmp_path}/items")
+    got = identity(spark.read.parquet(f"{tmp_path}/items"))
+    assert not got.inputFiles()  # all is made from the fixed cells
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 8.0, "L", "x", "p, q"), ("b", 7.0, "S", "y", "r")]
