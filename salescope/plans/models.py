@@ -574,10 +574,9 @@ def forecaster_comparison(spark, d):
 
 @query("promotion_classifier_comparison")
 def promotion_classifier_comparison(spark, d):
-    """Promoted items told from the rest by price, size and brand."""
+    """Promoted items told from the rest by price, size and brand, by all classifiers of the comparison."""
     data = class_data(spark, d).drop("features").withColumn("label", (F.col("p_type") == "PROMO").cast("double"))
-    few = {k: compare.CLASSIFIERS[k] for k in ("Logistic Regression", "Naive Bayes", "Decision Tree", "KNN")}
-    return compare.compare_classifiers(data, ["p_retailprice", "size", "brand"], "p_partkey", depth=5, chosen=few)
+    return compare.compare_classifiers(data, ["p_retailprice", "size", "brand"], "p_partkey")
 
 
 @query("clustering_comparison")

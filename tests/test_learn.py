@@ -149,6 +149,25 @@ def test_comparisons_rank_and_show_refused_settings(line):
     assert len(best) == 2 and best[0]["f1"] >= best[1]["f1"] > 0.9
 
 
+def test_promotion_comparison_trains_every_classifier(spark, tmp_path, monkeypatch):
+    from salescope.learn import compare
+    from salescope.plans import models as plans
+
+    rows = [(i, f"Brand#{i % 5}", "PROMO" if i % 3 == 0 else "ECONOMY", i % 50, 900.0 + i % 7) for i in range(80)]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    made, make = {}, models.classifier
+
+    def small(kind, classes, width, trees, depth):
+        whole = make(kind, classes, width, trees, depth)
+        made[kind] = [whole.getOrDefault(p) for p in ("maxDepth", "numTrees", "maxIter") if whole.hasParam(p)]
+        return make(kind, classes, width, 2, 2)
+
+    monkeypatch.setattr(models, "classifier", small)
+    got = plans.promotion_classifier_comparison(spark, str(tmp_path)).collect()
+    assert {r["model_name"] for r in got} == set(compare.CLASSIFIERS) and all(r["f1"] > 0 for r in got)
+    assert made == {"LogisticRegression": [1000], "NaiveBayes": [], "DecisionTree": [10], "RandomForest": [10, 100], "BoostedTrees": [5, 100]}
+
+
 def test_models_of_depth_one_are_fitted_on_few_weighted_rows(spark, monkeypatch):
     from pyspark.ml.regression import DecisionTreeRegressor
 
