@@ -5,10 +5,11 @@ blocks, and each block gets its share of that budget in proportion to its dimens
 share of at least one block; so each block is range-joined under its own share, and every pair found is verified by its cosine in
 double precision. A pair counts only in the first block whose share it keeps, so no pair is counted twice and none is passed on.
 
-The range join of a block lays a grid with cells of twice the radius over its leading coordinates. A vector goes to its own cell and
-to the cells before it within the radius. A cell of many rows is cut into chunks by a hash, and each pair of chunks is one task's
-work. In a task the rows are sorted by one more coordinate, and only those within the radius there are compared. Tasks return a count for
-each vector and a star for each component.
+The distinct vectors are stored once, dealt to chunks of bounded size by a hash. Each pair of chunks is a tile; a task reads the chunks of
+its tiles from storage, so that what is stored and shuffled grows with the vectors, while the tiles grow with the square of their
+number. In a tile the range join of a block lays a grid over its two leading coordinates: strips of the radius along the first, in the
+order of the second inside. Rows are compared with those in their own and the neighbouring strips that are within the radius along the
+second. Tasks return a count for each vector and a star for each component.
 
 Equal vectors are compared once and counted with their number. Vectors that are null, empty, zero or hold null or non-finite numbers
 link with nothing, nor do vectors of different lengths. Rows with null ids count and link like others. Other columns are not read.
@@ -16,19 +17,26 @@ link with nothing, nor do vectors of different lengths. Rows with null ids count
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from salescope.llm.common import stored
 from salescope.llm.components import components, forest
+from salescope.llm.scans import for_part
+from salescope.session import scratch_path
 
-BLOCK_DIMENSIONS, GRID_DIMENSIONS, CHUNK_ROWS, PAIRS, STEP = 8, 2, 8192, 50_000, 512
+BLOCK_DIMENSIONS, PAIRS, STEP = 8, 50_000, 256
+#: Rows of a chunk, at most and at least, and the numbers in them.
+CHUNK_ROWS, LEAST_ROWS, CHUNK_VALUES = 8192, 512, 1 << 21
+#: Tiles that a task goes through, at most, and rows of results that it merges at a time.
+TASK_TILES, MERGED_ROWS = 64, 1 << 18
 
 
 @lru_cache(maxsize=8)
@@ -50,109 +58,157 @@ def _budgets(dimensions: int, cosine: float) -> np.ndarray:
     return (2 - 2 * cosine) * sizes / dimensions * (1 + 1e-9) + 1e-12
 
 
-def _links(units: np.ndarray, probe: np.ndarray, side: np.ndarray, block: int, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Verified pairs of a tile that are due in this block. ``side``: 0 for the first chunk, 1 for the second, if it is another."""
-    dimensions = units.shape[1]
-    starts, budgets = block_starts(dimensions), _budgets(dimensions, cosine)
-    turned = units @ rotation(dimensions)
-    part = turned[:, starts[block] : starts[block] + BLOCK_DIMENSIONS]
-    # in the order of one more coordinate, a row meets only those within the radius there; sums in single precision get some slack
-    key = part[:, min(GRID_DIMENSIONS, part.shape[1] - 1)]
-    order = np.argsort(key, kind="stable")
-    first, second = order[side[order] == 0], order[side[order] == 1]
-    within = not len(second)
-    second = first if within else second
-    radius, places = np.sqrt(budgets[block]) * (1 + 1e-6), key[second]
-    single = part.astype(np.float32)
-    squares = (single**2).sum(1)
-    for at in range(0, len(first), STEP):
-        rows = first[at : at + STEP]
-        low = at if within else int(np.searchsorted(places, key[rows[0]] - radius))
-        others = second[low : int(np.searchsorted(places, key[rows[-1]] + radius, "right"))]
-        near = squares[rows, None] + squares[None, others] - 2 * (single[rows] @ single[others].T) <= np.float32(budgets[block] + 1e-5)
-        a, b = np.nonzero(near)
-        if within:
-            a, b = a[a < b], b[a < b]  # both count from the same place in the order
-        a, b = rows[a], others[b]
-        due = ~(probe[a] & probe[b])
-        a, b = a[due], b[due]
-        for cut in range(0, len(a), PAIRS):
-            x, y = a[cut : cut + PAIRS], b[cut : cut + PAIRS]
-            linked = np.einsum("ij,ij->i", units[x], units[y]) >= cosine
-            x, y = x[linked], y[linked]
-            parts = np.add.reduceat((turned[x] - turned[y]) ** 2, starts, axis=1) <= budgets
-            due = parts.argmax(1) == block
-            yield x[due], y[due]
+class _Grid:
+    """The rows of a chunk on the grid of one block. ``a`` and ``b`` hold the factors of squared distances, in single precision."""
+
+    def __init__(self, part: np.ndarray, radius: float):
+        second = part[:, min(1, part.shape[1] - 1)]
+        strip = np.floor(part[:, 0] / radius).astype(np.int64)
+        self.order = np.lexsort((second, strip))
+        self.second = second[self.order]
+        self.names, begins = np.unique(strip[self.order], return_index=True)
+        self.begins, self.ends = begins, np.append(begins[1:], len(part))
+        single = part[self.order].astype(np.float32)
+        square, one = (single**2).sum(1, keepdims=True), np.ones((len(part), 1), np.float32)
+        self.a, self.b = np.hstack([single, square, one]), np.hstack([-2 * single, one, square])
+
+    def near(self, name: int, low: float, high: float) -> Iterator[tuple[int, int]]:
+        """Stretches of places in the strips that meet this one, where the second coordinate is in the range."""
+        first, last = np.searchsorted(self.names, [name - 1, name + 2])
+        for begin, end in zip(self.begins[first:last], self.ends[first:last]):
+            at, to = begin + np.searchsorted(self.second[begin:end], low), begin + np.searchsorted(self.second[begin:end], high, "right")
+            if at < to:
+                yield int(at), int(to)
+
+
+class _Side:
+    """Vectors of one length in a chunk."""
+
+    def __init__(self, rows: pd.DataFrame, dimensions: int, kind: str, cosine: float):
+        self.vid, self.copies = rows["vid"].to_numpy(), rows["copies"].to_numpy()
+        self.units = _unit(np.frombuffer(b"".join(rows["vector"]), kind).astype("<f8").reshape(-1, dimensions))
+        self.turned, self.budgets = self.units @ rotation(dimensions), _budgets(dimensions, cosine)
+        self.starts = block_starts(dimensions)
+        self.radii = np.sqrt(self.budgets) * (1 + 1e-6)
+        self.grids = [_Grid(self.turned[:, s : s + BLOCK_DIMENSIONS], r) for s, r in zip(self.starts, self.radii)]
+
+
+def _links(left: _Side, right: _Side, block: int, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Verified pairs of a tile that are due in this block; those of a chunk with itself once."""
+    grid, other, radius, budget = left.grids[block], right.grids[block], left.radii[block], np.float32(left.budgets[block] + 1e-5)
+    found, held = [], 0
+
+    def verified() -> tuple[np.ndarray, np.ndarray]:
+        x, y = (np.concatenate(side) for side in zip(*found))
+        due = (np.add.reduceat((left.turned[x] - right.turned[y]) ** 2, left.starts, axis=1) <= left.budgets).argmax(1) == block
+        x, y = x[due], y[due]
+        linked = np.einsum("ij,ij->i", left.units[x], right.units[y]) >= cosine
+        return x[linked], y[linked]
+
+    for name, begin, end in zip(grid.names, grid.begins, grid.ends):
+        for at in range(begin, end, STEP):
+            to = min(at + STEP, end)
+            for low, high in other.near(name, grid.second[at] - radius, grid.second[to - 1] + radius):
+                # single precision gets some slack
+                places = np.flatnonzero(grid.a[at:to] @ other.b[low:high].T <= budget)
+                a, b = grid.order[at + places // (high - low)], other.order[low + places % (high - low)]
+                if left is right:
+                    a, b = a[a < b], b[a < b]
+                for cut in range(0, len(a), PAIRS):
+                    found.append((a[cut : cut + PAIRS], b[cut : cut + PAIRS]))
+                    held += len(found[-1][0])
+                    if held >= PAIRS:
+                        yield verified()
+                        found, held = [], 0
+    if held:
+        yield verified()
+
+
+def _merged(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    """Counts added up by vector, and stars of the components of all parts' stars."""
+    whole = pd.concat(parts, ignore_index=True)
+    stars = whole["root"] >= 0
+    counts = whole[~stars].groupby("vid", as_index=False)["n"].sum()
+    node, root = forest(whole["vid"][stars].to_numpy(), whole["root"][stars].to_numpy())
+    return pd.DataFrame({"vid": np.concatenate([counts["vid"], node]), "n": np.concatenate([counts["n"], np.zeros(len(node), np.int64)]),
+                         "root": np.concatenate([np.full(len(counts), -1), root])}, dtype=np.int64)
 
 
 def near_vectors(rows: DataFrame, cosine: float) -> DataFrame:
     """vec_id, n_links, component_id (null where no id is known), kept from ``vec_id, embedding``."""
-    kind = rows.schema["vec_id"].dataType.simpleString()
+    spark = rows.sparkSession
+    of = rows.schema["vec_id"].dataType.simpleString()
+    floats = isinstance(rows.schema["embedding"].dataType.elementType, FloatType)
+    kind, size = ("<f4", 4) if floats else ("<f8", 8)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             vectors = []
             for v in batch["embedding"]:
-                v = np.array([], "f8") if v is None else np.array([np.nan if x is None else x for x in v], "<f8")
-                vectors.append((v + 0.0).tobytes() if len(v) and np.isfinite(v).all() and v.any() else None)  # -0.0 becomes 0.0
+                if not (isinstance(v, np.ndarray) and v.dtype.kind == "f"):
+                    v = [] if v is None else [np.nan if x is None else x for x in v]
+                v = np.asarray(v, kind)
+                vectors.append((v + v.dtype.type(0)).tobytes() if len(v) and np.isfinite(v).all() and v.any() else None)  # -0.0 becomes 0.0
             yield pd.DataFrame({"vec_id": batch["vec_id"], "vector": vectors})
 
-    marked = rows.select("vec_id", "embedding").mapInPandas(read, f"vec_id {kind}, vector binary")
-    marked = stored(marked.withColumn("key", F.unhex(F.md5("vector"))), "vectors")
-    distinct = marked.where("vector is not null").groupBy("key", "vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
-    distinct = stored(distinct.withColumn("vid", F.monotonically_increasing_id()), "distinct-vectors")
+    read_rows = rows.select("vec_id", "embedding").mapInPandas(read, f"vec_id {of}, vector binary").withColumn("key", F.unhex(F.md5("vector")))
+    marked = stored(read_rows.select("vec_id", "key", (F.octet_length("vector") / size).cast("int").alias("width")), "vectors")
+    n, width = marked.agg(F.approx_count_distinct("key", 0.02), F.coalesce(F.max("width"), F.lit(1))).first()
+    across = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))  # chunks that make some tiles for each core
+    chunk = max(1, min(CHUNK_ROWS, CHUNK_VALUES // width, max(LEAST_ROWS, -(-n // across))))
+    chunks = max(1, -(-n // chunk))
+    distinct = read_rows.where("vector is not null").groupBy("key", "vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
+    folder = scratch_path(spark, "distinct-vectors")
+    dealt = distinct.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")).repartition("part")
+    dealt = dealt.withColumn("vid", F.monotonically_increasing_id()).select("key", "vector", "copies", "least", "vid", "part")
+    dealt.write.partitionBy("part").parquet(folder)
+    distinct = spark.read.schema(dealt.schema).parquet(folder)
+
+    def tile(one: list[_Side], two: list[_Side]) -> list[pd.DataFrame]:
+        out = []
+        for left in one:
+            for right in (x for x in two if len(x.starts) == len(left.starts) and x.units.shape[1] == left.units.shape[1]):
+                counts, stars = (np.zeros(len(left.vid), np.int64), np.zeros(len(right.vid), np.int64)), []
+                for block in range(len(left.starts)):
+                    for x, y in _links(left, right, block, cosine):
+                        np.add.at(counts[0], x, right.copies[y])
+                        np.add.at(counts[1], y, left.copies[x])
+                        stars.append(forest(left.vid[x], right.vid[y]))
+                for side, count in zip((left, right), counts):
+                    some = np.flatnonzero(count)
+                    out.append(pd.DataFrame({"vid": side.vid[some], "n": count[some], "root": -1}))
+                out += [pd.DataFrame({"vid": node, "n": 0, "root": root}) for node, root in stars]
+        return out
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list[_Side]] = {}
+        waiting, total = [], 0
+
+        def sides(part: int, beside: int) -> list[_Side]:
+            if part not in held:
+                for other in [x for x in held if x != beside]:
+                    del held[other]
+                found = for_part(folder, part, ["vector", "copies", "vid"])
+                lengths = found["vector"].map(len) if len(found) else []
+                held[part] = [_Side(own, length // size, kind, cosine) for length, own in found.groupby(lengths)] if len(found) else []
+            return held[part]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            width = batch["vector"].map(len)
-            for size, part in batch.groupby(width):
-                dimensions = size // 8
-                turned = _unit(np.frombuffer(b"".join(part["vector"]), "<f8").reshape(-1, dimensions)) @ rotation(dimensions)
-                budgets, index = _budgets(dimensions, cosine), np.arange(len(part))
-                for block, start in enumerate(block_starts(dimensions)):
-                    lead = turned[:, start : min(start + GRID_DIMENSIONS, dimensions)]
-                    radius = np.sqrt(budgets[block]) * (1 + 1e-6)
-                    own = np.floor(lead / (2 * radius)).astype(np.int64)
-                    for move in product((-1, 0, 1), repeat=lead.shape[1]):
-                        if move > (0,) * lead.shape[1]:
-                            continue  # each pair of cells meets in the one that comes first
-                        low = (own + move) * 2 * radius
-                        away = np.maximum(np.maximum(low - lead, lead - low - 2 * radius), 0)
-                        go = index[(away**2).sum(1) <= radius**2]
-                        if not len(go):
-                            continue
-                        cell = own[go] + move
-                        name = [f"{dimensions}:{block}:" + ":".join(map(str, c)) for c in cell.tolist()]
-                        chosen = part.iloc[go]
-                        yield pd.DataFrame({"cell": name, "block": block, "probe": any(move), "vid": chosen["vid"].to_numpy(),
-                                            "copies": chosen["copies"].to_numpy(), "vector": chosen["vector"].to_numpy()})
-
-    placed = distinct.select("vid", "copies", "vector").mapInPandas(place, "cell string, block int, probe boolean, vid long, copies long, vector binary")
-    placed = stored(placed, "cells")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    chunks = F.ceil(F.col("n") / CHUNK_ROWS).cast("int")
-    dealt = placed.join(sizes, "cell").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("vid"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tile = F.concat_ws("/", "cell", F.least("chunk", "other"), F.greatest("chunk", "other"))
-    dealt = dealt.select(tile.alias("tile"), "block", "probe", "vid", "copies", "vector", (F.col("chunk") > F.col("other")).alias("later"))
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        size = len(frame["vector"].iloc[0])
-        units = _unit(np.frombuffer(b"".join(frame["vector"]), "<f8").reshape(-1, size // 8))
-        vid, copies, counts = frame["vid"].to_numpy(), frame["copies"].to_numpy(), np.zeros(len(frame), np.int64)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x, y in _links(units, frame["probe"].to_numpy(), frame["later"].to_numpy().astype(int), int(frame["block"].iloc[0]), cosine):
-            np.add.at(counts, x, copies[y])
-            np.add.at(counts, y, copies[x])
-            node, root = forest(vid[x], vid[y])
-            a.append(node)
-            b.append(root)
-        some = np.flatnonzero(counts)
-        node, root = forest(np.concatenate(a), np.concatenate(b))
-        return pd.DataFrame({"vid": np.concatenate([vid[some], node]), "n": np.concatenate([counts[some], np.zeros(len(node), np.int64)]),
-                             "root": np.concatenate([np.full(len(some), -1), root])})
-
-    found = stored(dealt.groupBy("tile").applyInPandas(compare, "vid long, n long, root long"), "vector-links")
+            for number in batch["id"]:
+                i = (math.isqrt(8 * number + 1) - 1) // 2
+                j = number - i * (i + 1) // 2
+                one = sides(i, j)
+                parts = tile(one, one if i == j else sides(j, i))
+                waiting, total = waiting + parts, total + sum(map(len, parts))
+                if total > MERGED_ROWS:
+                    yield _merged(waiting)
+                    waiting, total = [], 0
+        if total:
+            yield _merged(waiting)
+
+    tiles = chunks * (chunks + 1) // 2
+    tasks = min(tiles, max(16 * spark.sparkContext.defaultParallelism, -(-tiles // TASK_TILES)))
+    found = stored(spark.range(0, tiles, 1, tasks).mapInPandas(compare, "vid long, n long, root long"), "vector-links")
     counts = found.where("root = -1").groupBy("vid").agg(F.sum("n").alias("n"))
     roots = components(found.where("root >= 0").select(F.col("vid").alias("a"), F.col("root").alias("b")))
     named = distinct.join(counts, "vid", "left").join(roots.withColumnRenamed("node", "vid"), "vid", "left").select(
@@ -160,6 +216,6 @@ def near_vectors(rows: DataFrame, cosine: float) -> DataFrame:
     named = stored(named, "named-vectors")
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
     out = marked.join(named.join(groups, "root").select("key", "n_links", "component_id"), "key", "left")
-    component = F.when(F.col("vector").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).cast("long")
+    component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).cast("long")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
                       F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from salescope.llm import columnwise, components, katz, language, lookup, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
+from salescope.llm import columnwise, common, components, katz, language, lookup, packing, pieces, pii, simhash, subspaces, token_streams, windows, winnowing
 from salescope.llm.ragged import mix
 from salescope.session import scratch_path
 
@@ -342,6 +342,25 @@ def test_subspaces(spark, monkeypatch):
     assert subspaces.near_vectors(rows.limit(0), 0.95).count() == 0
 
 
+def test_subspaces_store_each_vector_once_however_many_tiles(spark, monkeypatch, tmp_path):
+    import pyarrow.dataset
+
+    folders = iter(range(10**6))
+    for module in (subspaces, common):
+        monkeypatch.setattr(module, "scratch_path", lambda _, name: str(tmp_path / f"{name}-{next(folders)}"))
+    monkeypatch.setattr(subspaces, "CHUNK_ROWS", 8)
+    rng = np.random.default_rng(6)
+    vectors = (rng.standard_normal((5, 24))[np.arange(120) % 5] + rng.standard_normal((120, 24)) * 0.15).astype("f4").tolist()
+    vectors += [vectors[0], [-0.0, *[1.0] * 23], [0.0, *[1.0] * 23], [3.0, 4.0], [6.0, 8.0], None]
+    rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in subspaces.near_vectors(rows, 0.95).collect()}
+    unit = [np.array(v or []) / np.linalg.norm(v or [1]) for v in vectors]
+    links = [sum(i != j and len(u) == len(v) > 0 and u @ v >= 0.95 for j, v in enumerate(unit)) for i, u in enumerate(unit)]
+    assert got == dict(enumerate(links)) and sum(links) > 1000
+    tables = [pyarrow.dataset.dataset(str(f)) for f in tmp_path.iterdir() if any(f.rglob("*.parquet"))]
+    assert sum(t.count_rows() for t in tables if "vector" in t.schema.names) == 123  # the distinct ones
+
+
 def test_columnwise(spark, stable):
     got, seen = by_id(columnwise.removed_bytes(stable, 100)), set()
     for i, text in enumerate(texts()):
