@@ -51,8 +51,13 @@ class Tokens:
         return {1: lookup.sent(self.token, self.token >> np.uint64(32), buckets),
                 2: lookup.sent(pair, mix(self.token * BASE_B ^ self.context), buckets)}
 
-    def contexts(self, buckets: int) -> lookup.Sent:
-        return lookup.sent(self.context, self.context >> np.uint64(32), buckets)
+    def contexts(self, sent: lookup.Sent) -> lookup.Sent:
+        """The contexts, from the tokens' keys: each token's places moved on by one, so that a start goes where an end does."""
+
+        def after(places: np.ndarray) -> np.ndarray:
+            return (places + 1) % len(self.token)
+
+        return lookup.Sent(after(sent.order), sent.places, [(bucket, after(own)) for bucket, own in sent.parts], sent.n)
 
 
 class Discount:
@@ -88,6 +93,18 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
+def _blobs(out: lookup.Sent, values: np.ndarray, narrow: bool = False) -> list[bytes]:
+    """One value for each distinct key, cut by bucket."""
+    parts = np.split(values, np.cumsum([len(own) for _, own in out.parts])[:-1])
+    return [(_narrow(part) if narrow else part).tobytes() for part in parts]
+
+
+def _messages(out: lookup.Sent, **columns) -> pd.DataFrame:
+    """A row for each bucket, all in one frame: a frame costs a thousand times what a row does, and both numbers of blocks and
+    buckets grow with the input."""
+    return pd.DataFrame({"bucket": [bucket for bucket, _ in out.parts], "n": [len(own) for _, own in out.parts], **columns})
+
+
 def _wide(blobs: pd.Series, sizes: pd.Series, kind=None) -> np.ndarray:
     parts = [np.frombuffer(b, kind or f"u{len(b) // n}").astype(kind or np.int64) for b, n in zip(blobs, sizes)]
     return np.concatenate(parts) if parts else np.zeros(0, kind or np.int64)
@@ -104,13 +121,9 @@ def score(docs: DataFrame) -> DataFrame:
             tokens = Tokens(rows)
             for order, out in tokens.sent(buckets).items():
                 counts = np.add.reduceat(tokens.train[out.order].astype(np.int64), out.places)
-                at = 0
-                for bucket, own in out.parts:
-                    keys = (tokens.token if order == 1 else mix(mix(tokens.context[own]) * BASE_B + tokens.token[own]))
-                    keys = keys[own] if order == 1 else keys
-                    yield pd.DataFrame([(order, part, block, len(rows), bucket, len(own), keys.tobytes(), _narrow(counts[at : at + len(own)]).tobytes())],
-                                       columns=["order", "part", "block", "n_rows", "bucket", "n", "keys", "counts"])
-                    at += len(own)
+                own = out.order[out.places]
+                keys = tokens.token[own] if order == 1 else mix(mix(tokens.context[own]) * BASE_B + tokens.token[own])
+                yield _messages(out, order=order, part=part, block=block, n_rows=len(rows), keys=_blobs(out, keys), counts=_blobs(out, counts, narrow=True))
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
@@ -150,7 +163,7 @@ def score(docs: DataFrame) -> DataFrame:
         return np.where(count > 0, single(count) / max(n_tokens, 1), unknown)
 
     def answered(batches: Iterator[pd.DataFrame]):
-        """Each block with the training counts of its tokens, pairs and contexts, and which pairs it owns."""
+        """Each block with its contexts' keys, the training counts of its tokens, pairs and contexts, and which pairs it owns."""
         waiting = None
         for part, block, rows in cut(batches):
             if waiting is None:
@@ -169,21 +182,15 @@ def score(docs: DataFrame) -> DataFrame:
             ends = count[tokens.begin + tokens.sizes - 1]
             before[tokens.begin] = ends  # as many starts as ends
             first = sent[2].order[sent[2].places]
-            yield part, block, rows, tokens, count, pair, before, first[owned.astype(bool) & (found[2] > 0)]
+            yield part, block, rows, tokens, tokens.contexts(sent[1]), count, pair, before, first[owned.astype(bool) & (found[2] > 0)]
 
     def mass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, block, rows, tokens, count, pair, before, own in answered(batches):
+        for part, block, _, tokens, out, count, pair, before, own in answered(batches):
             seen, below = np.zeros(len(count)), np.zeros(len(count))
             seen[own] = double(pair[own]) / before[own]
             below[own] = alone(count[own])
-            out = tokens.contexts(buckets)
             a, b = np.add.reduceat(seen[out.order], out.places), np.add.reduceat(below[out.order], out.places)
-            at = 0
-            for bucket, places in out.parts:
-                to = at + len(places)
-                yield pd.DataFrame([(part, block, bucket, len(places), tokens.context[places].tobytes(), a[at:to].tobytes(), b[at:to].tobytes())],
-                                   columns=["part", "block", "bucket", "n", "keys", "seen", "below"])
-                at = to
+            yield _messages(out, part=part, block=block, keys=_blobs(out, tokens.context[out.order[out.places]]), seen=_blobs(out, a), below=_blobs(out, b))
 
     def weigh(frame: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
@@ -200,11 +207,10 @@ def score(docs: DataFrame) -> DataFrame:
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting = None
-        for part, block, rows, tokens, count, pair, before, _ in answered(batches):
+        for part, block, rows, tokens, out, count, pair, before, _ in answered(batches):
             if waiting is None:
                 waiting = for_part(weights, part, ["block", "bucket", "n", "seen", "below"])
             own = waiting[waiting["block"] == block].sort_values("bucket")
-            out = tokens.contexts(buckets)
             seen, below = (out.spread(_wide(own[c], own["n"], np.float64)) for c in ("seen", "below"))
             full = seen > 1 - 1e-9  # no mass is left over
             known = np.maximum(before, 1)
