@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import time
 from collections.abc import Iterator, Sequence
 
@@ -11,7 +12,8 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VarianceThresholdSelector, VectorAssembler
+from pyspark.ml.feature import Bucketizer, Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VarianceThresholdSelector, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -107,6 +109,43 @@ def regressor(name: str, rows: int = 1, label_std: float = 1.0, **p):
     raise ValueError(f"unknown model {name}")
 
 
+#: Bins that Spark's trees cut a feature into.
+BINS = 32
+
+
+def tree_borders(data: DataFrame, features: str, width: int) -> dict[int, list[float]]:
+    """Quantiles of the rows as borders of bins, by feature; one of few values (a guess does) needs none."""
+    spread = data.select(vector_to_array(features).alias("x"))
+    counts = spread.agg(*[F.approx_count_distinct(F.col("x")[i]) for i in range(width)]).first()
+    many = [i for i in range(width) if counts[i] > BINS]
+    steps = [i / BINS for i in range(1, BINS)]
+    found = spread.agg(*[F.percentile_approx(F.col("x")[i], steps, 1000) for i in many]).first() if many else []
+    return {i: sorted(set(own)) for i, own in zip(many, found)}
+
+
+def binned(data: DataFrame, features: str, width: int, borders: dict[int, list[float]]) -> DataFrame:
+    """``data`` with the bins of the features that have borders in the place of their values: all that a tree learns from them."""
+    if not borders:
+        return data
+    names, codes = [f"_x{i}" for i in borders], [f"_b{i}" for i in borders]
+    spread = data.withColumn("_x", vector_to_array(features)).withColumns({f"_x{i}": F.col("_x")[i] for i in borders})
+    splits = [[-math.inf, *own, math.inf] for own in borders.values()]
+    coded = Bucketizer(inputCols=names, outputCols=codes, splitsArray=splits, handleInvalid="keep").transform(spread)
+    whole = F.array(*[F.col(f"_b{i}") if i in borders else F.col("_x")[i] for i in range(width)])
+    return coded.withColumn(features, array_to_vector(whole)).drop("_x", *names, *codes)
+
+
+def cells_of(train: DataFrame, features: str) -> DataFrame:
+    """Equal ``features`` as one row with the mean label and their number in ``rows``.
+
+    Squared-loss trees and their boosting make the same of them as of the rows. A null label is none: it makes its cell's mean NaN.
+    """
+    label = F.coalesce(F.col("label").cast("double"), F.lit(math.nan))
+    own = vector_to_array(features)
+    cells = train.groupBy(own.alias("_x")).agg(F.avg(label).alias("label"), F.count(F.lit(1)).cast("double").alias("rows"))
+    return cut_lineage(cells.select(array_to_vector("_x").alias(features), "label", "rows"))
+
+
 def label_size(data: DataFrame) -> tuple[int, float]:
     """Rows and population deviation of the label of the train split."""
     n, std = data.where(F.col("split") == "train").agg(F.count("label"), F.stddev_pop("label")).first()

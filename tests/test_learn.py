@@ -210,3 +210,35 @@ def test_many_lines_are_stored_as_assembled_columns(spark, tmp_path, monkeypatch
     data = plans.revenue_data(spark, str(tmp_path), assembler)
     assert data.columns == ["all_features", "label", "split"] and data.inputFiles()
     assert len(whole) == 200 and rows(data) == whole
+    summed, cells_of = [], models.cells_of
+
+    def counted(train, features):
+        cells = cells_of(train, features)
+        summed.append((train.count(), *cells.agg(F.sum("rows"), F.sum(F.col("rows") * F.col("label"))).first()))
+        return cells
+
+    monkeypatch.setattr(models, "cells_of", counted)
+    got = {r["split"]: r["rmse"] for r in plans.revenue_boosted_trees(spark, str(tmp_path)).collect()}
+    assert set(got) == {"train", "val", "test"} and all(x >= 0 for x in got.values())
+    assert summed == [(n := sum(r[2] == "train" for r in whole), n, pytest.approx(sum(r[1] for r in whole if r[2] == "train")))]
+
+
+def test_trees_learn_the_same_from_cells_as_from_rows(spark):
+    rng = np.random.default_rng(3)
+    x = np.stack([np.arange(900) % 5, rng.random(900).round(3), np.arange(900) % 2], 1)
+    y = 3 * x[:, 0] + np.sin(6 * x[:, 1]) + rng.normal(size=900)
+    rows = spark.createDataFrame([(*map(float, v), float(w), i) for i, (v, w) in enumerate(zip(x, y))], "a double, b double, c double, label double, key int")
+    data = models.VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+    borders = models.tree_borders(data, "features", 3)
+    assert list(borders) == [1] and 2 <= len(borders[1]) < models.BINS
+    data = models.binned(data, "features", 3, borders).cache()
+    codes = np.array([r["features"].toArray() for r in data.orderBy("key").collect()])
+    assert (codes == np.stack([x[:, 0], np.searchsorted(borders[1], x[:, 1], "right"), x[:, 2]], 1)).all()
+    cells = models.cells_of(data, "features")
+    assert cells.count() < 350 and cells.agg(F.sum("rows")).first()[0] == 900
+    grown = models.regressor("BoostedTrees", n_estimators=4, max_depth=4, learning_rate=0.2)
+    usual, merged = grown.fit(data), grown.copy().setWeightCol("rows").fit(cells)
+    both = [[r["prediction"] for r in m.transform(data).orderBy("key").collect()] for m in (usual, merged)]
+    assert both[1] == pytest.approx(both[0]) and len(set(both[0])) > 10
+    none = data.withColumn("label", F.when(F.col("key") > 0, F.col("label")))
+    assert models.cells_of(none, "features").where(F.isnan("label")).count() == 1
