@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -323,6 +324,23 @@ def test_katz_adds_up_to_one_and_matches(spark, stable):
     assert katz.score(empty(spark).withColumn("train", F.lit(True))).count() == 0
 
 
+def test_katz_sends_one_frame_a_block_and_sorts_no_contexts(monkeypatch):
+    rows = pd.DataFrame({"text": ["b a b c", None, "", "a", "c c b a b"], "train": True})
+    tokens = katz.Tokens(rows)
+    sent = tokens.sent(16)
+    monkeypatch.setattr(lookup, "sent", None)
+    out = tokens.contexts(sent[1])
+    assert sorted(out.order) == list(range(len(tokens.token)))
+    groups = np.split(tokens.context[out.order], out.places[1:])
+    assert all((g == g[0]).all() for g in groups) and len({int(g[0]) for g in groups}) == len(groups) == 4  # a, b, c, start
+    assert {int(g[0]): len(g) for g in groups} == Counter(tokens.context.tolist())
+    keys = tokens.context[out.order[out.places]]
+    frame = katz._messages(out, block=3, keys=katz._blobs(out, keys), counts=katz._blobs(out, out.counts(), narrow=True))
+    assert len(frame) == len(out.parts) > 1 and frame["n"].tolist() == [len(own) for _, own in out.parts]
+    assert [np.frombuffer(k, np.uint64).tolist() for k in frame["keys"]] == [tokens.context[own].tolist() for _, own in out.parts]
+    assert katz._wide(frame["counts"], frame["n"]).tolist() == out.counts().tolist()
+
+
 def test_subspaces(spark, monkeypatch):
     monkeypatch.setattr(subspaces, "CHUNK_ROWS", 16)
     rng = np.random.default_rng(4)
